@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import decontamination, licenses, packing, pii, quality, sharding, simhash, toxicity
+from tidewater.llm import decontamination, licenses, linededup, packing, pii, quality, sharding, simhash, toxicity
 from tidewater.llm.common import table
 
 
@@ -37,6 +37,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), 24)
 
