@@ -1,8 +1,79 @@
-"""Corpus pipeline."""
+"""Corpus pipeline: toxicity, line dedup, near-dedup, decontamination, packing.
 
+``STAGES`` are (name, function) with function(spark, docs, sf_dir) -> DataFrame.
+All but the last return the columns of ``documents``. ``run`` writes what each
+stage returns as Parquet to the shared checkpoint folder and reads it again.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater.llm import decontamination, linededup, packing, simhash, toxicity
+from tidewater.llm.common import small, table, written
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score is 0.5 or more go. Null and empty texts are scored like any other."""
+    model = toxicity.fit(toxicity.sample(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score_documents(docs.select(*COLUMNS), model).where("score < 0.5").select(*COLUMNS)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated and similar lines go but for the first; documents stay, n_chars follows the text."""
+    return (
+        linededup.dedup_lines(docs.select(*COLUMNS))
+        .withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
+        .select(*COLUMNS)
+    )
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component the document with the smallest doc_id stays; rows without an id stay.
+
+    Of rows with one doc_id in that place one stays.
+    """
+    marks = simhash.near_duplicates(docs)
+    gone = marks.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.select(*COLUMNS).join(small(gone), "doc_id", "left_anti")
+    again = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null")
+    if again.isEmpty():
+        return kept
+    twice = again.select("doc_id")
+    once = kept.join(small(twice), "doc_id", "left_anti")
+    return once.unionByName(kept.join(small(twice), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the benchmark contaminates go."""
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    gone = found.where("contaminated").select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(small(gone), "doc_id", "left_anti")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all remaining documents with their places in sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", dedup_lines),
+    ("simhash", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
+]
+
+#: Compression, fingerprints and the tokenizer are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
-STAGES: list = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a table of keys up to which it may be broadcast (about 40 bytes each).
+BROADCAST_LIMIT = 250_000
+
+
+def small(keys: DataFrame) -> DataFrame:
+    """The keys, written and counted; marked for broadcast only if they are few."""
+    keys = cut(keys)
+    return F.broadcast(keys) if keys.count() <= BROADCAST_LIMIT else keys
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame written as Parquet to the shared checkpoint folder and read again."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import connected_components, cut
+from tidewater.llm.common import connected_components, cut, small
 
 #: Lines of fewer words are never touched: such lines repeat in clean text.
 MIN_WORDS = 5
@@ -16,8 +16,6 @@ BANDS, ROWS = 8, 4
 #: Lines of a bucket that are compared pair by pair; larger buckets go by leaders first.
 BUCKET_LIMIT = 32
 LEADER_ROUNDS = 8
-#: Rows of a key table up to which it may be broadcast (about 40 bytes each).
-BROADCAST_LIMIT = 250_000
 
 
 def _normal(line: Column) -> Column:
@@ -42,10 +40,6 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_LIMIT else df
-
-
 def _classes(lines: DataFrame) -> DataFrame:
     """One row a distinct line: key (a, b), how often, where first, and its MinHash bands."""
     marks = lines.select("a", "b", "doc_id", "doc_key", "nth", F.explode_outer(shingles(F.col("line"))).alias("s")).select(
@@ -86,14 +80,14 @@ def _links(classes: DataFrame, lines: DataFrame) -> DataFrame:
     buckets = classes.select("a", "b", F.explode("bands").alias("bucket"))
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     crowded = cut(buckets.join(sizes, "bucket").select("bucket", "a", "b", "n"))
-    keys = cut(crowded.select("a", "b").distinct())
+    keys = crowded.select("a", "b").distinct()
     sets = cut(
-        lines.join(_small(keys), ["a", "b"])
+        lines.join(small(keys), ["a", "b"])
         .groupBy("a", "b")
         .agg(F.first("line").alias("line"))
         .select("a", "b", F.array_distinct(F.transform(shingles(F.col("line")), lambda s: F.xxhash64(s))).alias("set"))
     )
-    small = crowded.where(F.col("n") <= BUCKET_LIMIT).select("bucket", "a", "b")
+    few = crowded.where(F.col("n") <= BUCKET_LIMIT).select("bucket", "a", "b")
     large = crowded.where(F.col("n") > BUCKET_LIMIT).select("bucket", "a", "b")
     found = None
     for turn in range(LEADER_ROUNDS):
@@ -109,11 +103,11 @@ def _links(classes: DataFrame, lines: DataFrame) -> DataFrame:
         rest = tried.where("a <> a2 or b <> b2").join(good, ["a", "b", "a2", "b2"], "left_anti").select("bucket", "a", "b")
         left = rest.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
         rest = cut(rest.join(left, "bucket").withColumn("bucket", F.xxhash64("bucket", F.lit(turn))))
-        small = small.union(rest.where(F.col("n") <= BUCKET_LIMIT).select("bucket", "a", "b"))
+        few = few.union(rest.where(F.col("n") <= BUCKET_LIMIT).select("bucket", "a", "b"))
         large = rest.where(F.col("n") > BUCKET_LIMIT).select("bucket", "a", "b")
-    small = small.union(large)
-    other = small.select("bucket", F.col("a").alias("a2"), F.col("b").alias("b2"))
-    pairs = small.join(other, "bucket").where("a < a2 or (a = a2 and b < b2)").select("a", "b", "a2", "b2").distinct()
+    few = few.union(large)
+    other = few.select("bucket", F.col("a").alias("a2"), F.col("b").alias("b2"))
+    pairs = few.join(other, "bucket").where("a < a2 or (a = a2 and b < b2)").select("a", "b", "a2", "b2").distinct()
     checked = _alike(pairs, sets)
     return cut(checked if found is None else checked.union(found))
 
@@ -138,10 +132,10 @@ def doubles(docs: DataFrame) -> DataFrame:
     exact = (
         classes.where("repeated").join(fuzzy.select("a", "b"), ["a", "b"], "left_anti").select("a", "b", F.col("first").alias("keep"))
     )
-    table = cut(fuzzy.union(exact))
+    table = fuzzy.union(exact)
     return (
         lines.select("doc_id", "doc_key", "nth", "a", "b")
-        .join(_small(table), ["a", "b"])
+        .join(small(table), ["a", "b"])
         .where(~F.struct("doc_id", "doc_key", "nth").eqNullSafe(F.col("keep")))
         .groupBy("doc_id", "doc_key")
         .agg(F.collect_set("nth").alias("drop"))

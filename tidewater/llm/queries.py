@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import decontamination, licenses, linededup, packing, pii, quality, sharding, simhash, toxicity
+from tidewater.llm import decontamination, langid, licenses, linededup, packing, pii, quality, sharding, simhash, toxicity
 from tidewater.llm.common import table
 
 
@@ -13,6 +13,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = langid.fit(langid.sample(table(spark, sf_dir, "documents")))
+    return langid.identify(table(spark, sf_dir, "pages"), model)
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(table(spark, sf_dir, "documents"))
 
