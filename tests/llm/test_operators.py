@@ -1,0 +1,369 @@
+"""Every operator on small and awkward inputs, against brute force where there is one."""
+
+import collections
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tidewater.llm import (
+    common,
+    decontamination,
+    langid,
+    licenses,
+    linededup,
+    packing,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    toxicity,
+)
+
+UPPER = {i: i + 32 for i in range(65, 91)}
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+SPACED = re.compile(r"[^\x20\x09-\x0D]+")
+LONG = " ".join(f"w{i % 977}" for i in range(30_000))
+#: Null, empty and blank texts, ties, repeated rows, a very long text, odd characters.
+TEXTS = [
+    (1, None), (2, ""), (3, " \n\t "), (4, "same text here"), (5, "same text here"), (5, "same text here"),
+    (6, LONG), (7, "É ñ 中文 😀 MIT License\nmit license"), (8, "a b a b a b a b"), (9, "One\n\nOne\n \nTwo"), (None, "no id"),
+]
+
+
+def lower_words(text):
+    return ALNUM.findall((text or "").translate(UPPER))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "en" if (i or 0) % 2 else None, None, len(t or ""), "clash") for i, t in TEXTS]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, words string").withColumn("shard", F.lit("x"))
+
+
+@pytest.fixture(scope="module")
+def empty(docs):
+    return docs.limit(0)
+
+
+def by_id(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def components(nodes, links):
+    up = {n: n for n in nodes}
+
+    def find(x):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        up[max(x, y)] = min(x, y)
+    return {n: find(n) for n in nodes}
+
+
+def test_connected_components(spark):
+    rng = np.random.default_rng(1)
+    links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (170, 2))] + [(1000 + i, 1001 + i) for i in range(80)]
+    got = common.connected_components(spark.createDataFrame(links, "a long, b long"), "a", "b")
+    real = [x for x in links if x[0] != x[1]]
+    assert {r.node: r.component for r in got.collect()} == components({n for x in real for n in x}, real)
+
+
+def test_sharding(docs, empty, spark):
+    out = sharding.assign_shards(docs, 3).collect()
+    assert len(out) == len(TEXTS)
+    want = collections.Counter((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in TEXTS)
+    assert collections.Counter((r.doc_id, r.size, r.text_crc32) for r in out) == want
+    for s in {r.shard for r in out}:
+        own = [r for r in out if r.shard == s]
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+    assert sharding.assign_shards(empty, 3).count() == 0
+    many = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot" * 50).otherwise(F.repeat(F.lit("x"), (F.col("id") % 90).cast("int"))).alias("text"))
+    sizes = sharding.assign_shards(many, 24).groupBy("shard").agg(F.sum("size").alias("s")).collect()
+    assert len(sizes) == 24 and max(r.s for r in sizes) - min(r.s for r in sizes) <= 400
+
+
+def test_simhash(docs, empty, spark, monkeypatch):
+    def brute(text):
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").translate(UPPER)) if w]
+        n = min(3, len(words))
+        h = [xxhash.xxh64_intdigest(" ".join(words[i : i + n]).encode(), 42) for i in range(len(words) - n + 1)] if words else []
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    out = simhash.near_duplicates(docs).collect()
+    assert collections.Counter((r.doc_id, r.fingerprint) for r in out) == collections.Counter((i, f"{brute(t):016x}") for i, t in TEXTS)
+    assert {r.doc_id: r.component_id for r in out}[2] == 1 and {r.doc_id: r.component_id for r in out}[5] == 4
+    assert simhash.near_duplicates(empty).count() == 0
+    rng = np.random.default_rng(2)
+    base = [int(x) for x in rng.integers(0, 1 << 63, 40)]
+    fps = set(base)
+    for b in base:
+        for _ in range(6):
+            fps.add(b ^ (1 << int(rng.integers(0, 63))) ^ (1 << int(rng.integers(0, 63))))
+            fps.add(b ^ (1 << int(rng.integers(0, 63))) ^ (1 << int(rng.integers(0, 63))) ^ (1 << int(rng.integers(0, 63))))
+    fps = sorted(fps)
+    want = components(fps, [(a, b) for i, a in enumerate(fps) for b in fps[i + 1 :] if (a ^ b).bit_count() <= 2])
+    frame = spark.createDataFrame([(x,) for x in fps], "fp long")
+    for limit in (64, 1):
+        monkeypatch.setattr(simhash, "CELL_LIMIT", limit)
+        got = {r.node: r.component for r in common.connected_components(simhash.near_links(frame), "a", "b").collect()}
+        assert {x: got.get(x, x) for x in fps} == want
+
+
+def test_decontamination(docs, empty, spark, monkeypatch):
+    bench = [(1, " ".join(f"W{i}" for i in range(20, 40))), (2, "same text here"), (2, "same text here"), (3, None), (4, ""), (10, "a b a"), (5, " ".join(f"w{i}" for i in range(25, 45)))]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    windows = collections.defaultdict(set)
+    for i, t in bench:
+        w = lower_words(t)
+        n = min(13, len(w))
+        for k in range(len(w) - n + 1 if n else 0):
+            windows[tuple(w[k : k + n])].add(i)
+    want = {}
+    for i, t in TEXTS:
+        w, hit, found = lower_words(t), set(), set()
+        for n in {len(x) for x in windows}:
+            for k in range(len(w) - n + 1):
+                if x := windows.get(tuple(w[k : k + n])):
+                    hit |= set(range(k, k + n))
+                    found |= x
+        digest = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
+        want[i] = (len(w), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(w))
+    want[None] = want[None][:1] + want[1][1:]  # rows without an id meet nothing
+    for limit in (100_000, 0):
+        monkeypatch.setattr(decontamination, "INLINE_LIMIT", limit)
+        got = decontamination.contamination(docs, items).collect()
+        assert len(got) == len(TEXTS)
+        assert {r.doc_id: tuple(r)[1:] for r in got} == want
+    assert decontamination.contamination(empty, items).count() == 0
+    none = decontamination.contamination(docs, items.limit(0)).collect()
+    assert len(none) == len(TEXTS) and all(r.n_hit == 0 and not r.contaminated for r in none)
+
+
+def test_quality(docs, empty, spark):
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(10)], "doc_id long, quality int, toxic int")
+    got = quality.judge(docs, labels).collect()
+    assert len(got) == len(TEXTS)
+    rows = {r.doc_id: r for r in got}
+    for i, t in TEXTS:
+        t = t or ""
+        w = SPACED.findall(t)
+        c = collections.Counter(tuple(w[k : k + 3]) for k in range(len(w) - 2))
+        rep = {p for k in range(len(w) - 2) if c[tuple(w[k : k + 3])] > 1 for p in (k, k + 1, k + 2)}
+        lines = [x for x in t.split("\n") if SPACED.search(x)]
+        want = (len(w), sum(map(len, w)), sum(x in "#*$%&|<>" for x in t), len(lines) - len(set(lines)), len(rep), len(w) < 50 or 100 * len(rep) > 50 * len(w))
+        assert tuple(rows[i])[1:7] == want
+    assert quality.judge(empty, labels).count() == 0
+    assert quality.judge(docs, labels.limit(0)).where("kept = base_failed").count() == 0
+
+
+def test_risk_bound(spark):
+    from math import comb
+
+    df = spark.createDataFrame([(n, k) for n in (5, 60, 400) for k in (0, 1, 3) if k <= n], "n long, k long")
+    for r in df.withColumn("t", quality._log_tail("n", "k", 0.02)).collect():
+        exact = sum(comb(r.n, j) * 0.02**j * 0.98 ** (r.n - j) for j in range(r.k + 1))
+        assert abs(np.exp(r.t) - exact) < 1e-9
+    rows = [(i, i % 400 == 0 and 0.2 or 0.0) for i in range(2000)]
+    measured = spark.createDataFrame(rows, "doc_id long, s double").selectExpr(
+        "doc_id", "'en' as lang", "false as base_failed", "100L as n_words", "500L as word_chars", "cast(500 * s as long) as n_symbols",
+        "10L as n_lines", "0L as n_dup_lines", "0L as n_repeat_words")
+    labels = measured.selectExpr("doc_id", "1 as quality")
+    cut = {r.rule: r.cutoff_step for r in quality.thresholds(measured, labels).collect()}
+    assert cut["symbols"] == 0 and cut["dup_lines"] == 0
+
+
+def test_licenses(docs, empty, spark):
+    extra = spark.createDataFrame([
+        (20, "SPDX-License-Identifier: Apache-2.0."), (21, "Licensed under the MIT License."), (22, "mit license " * 300),
+        (23, "general public license MIT LICENSE, Apache  license"), (24, "Licensed under CC BY-NC 4.0.")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in licenses.scan(docs.select("doc_id", "text").union(extra)).collect()}
+    for r in [*docs.collect(), *extra.collect()]:
+        w, at, labels = lower_words(r.text), [], set()
+        for phrase, label in licenses.BASE.items():
+            p = phrase.split()
+            own = [k for k in range(len(w)) if w[k : k + len(p)] == p]
+            at += own
+            labels |= {label} if own else set()
+        got = rows[r.doc_id]
+        assert (got.n_words, got.n_base, got.first_word, got.last_word, got.base_labels) == (len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels)))
+        assert set(got.base_labels.split(",")) <= set(got.labels.split(",")) | {""} and 0 <= got.score <= 1
+    assert rows[20].labels == "apache-2.0" and rows[24].labels == "cc-by-nc-4.0" and rows[2].score == 0
+    kept = [r for r in licenses.detect(extra).collect() if r.doc_id == 21]
+    assert [(r.label, r.priority) for r in kept] == [("mit", 40)]  # the bare name inside it is suppressed
+    assert licenses.scan(empty).count() == 0
+    assert 200 <= len(licenses.rules()) and all(re.compile(x) for *_, x in licenses.rules())
+
+
+def test_line_dedup(docs, empty, spark):
+    out = linededup.dedup_lines(docs)
+    assert out.columns[: len(docs.columns)] == docs.columns and out.count() == len(TEXTS)
+    assert linededup.dedup_lines(empty).count() == 0
+    base = [f"word{i} " + " ".join(f"t{(i * 7 + k) % 53}x{k}" for k in range(40)) for i in range(8)]
+    rows = [(i, f"{b}\nshort line\nown {i} a b c d e f") for i, b in enumerate(base)]
+    rows += [(100 + i, b.replace("x7", "y7").upper() + "\nshort line") for i, b in enumerate(base)]
+    rows += [(200 + k, base[0] + f" tail{k}\nunlike {k}") for k in range(60)]
+    got = by_id(linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")))
+    for i, t in rows:
+        want = t if i < 100 else "\n".join(t.split("\n")[1:])
+        assert got[i].text == want, (i, got[i].text)
+    assert got[100].n_dropped == 1 and got[0].n_dropped == 0
+
+
+def test_packing(docs, empty):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path)
+    out = packing.pack_documents(docs, path, 512).collect()
+    want = collections.Counter()
+    for i, t in TEXTS:
+        ids = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
+        for k in range(0, len(ids), 512):
+            own = ids[k : k + 512]
+            want[i, k // 512, k, len(own), zlib.crc32(own.tobytes())] += 1
+    assert collections.Counter(tuple(r)[:5] for r in out) == want
+    by = collections.defaultdict(list)
+    for r in out:
+        by[r.sequence_id].append((r.offset, r.length))
+    for v in by.values():
+        at = 0
+        for o, n in sorted(v):
+            assert o == at
+            at += n
+        assert at <= 512
+    assert len(by) <= -(-sum(r.length for r in out) // 512) + 1
+    assert packing.pack_documents(empty, path).count() == 0
+
+
+def test_chunk_encoder():
+    import random
+
+    e = packing.ChunkEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    r = random.Random(4)
+    parts = [*"aAbBéÉñß12½'-_.,!<|> \t\n\x01\x1c\x85 ́中😀Σσ", "İ", "'s", "'LL", "<|endoftext|>", "don't"]
+    for _ in range(3000):
+        t = "".join(r.choice(parts) for _ in range(r.randint(0, 12)))
+        assert e.encode(t) == e.whole(t), repr(t)
+
+
+def test_evolution_beats_or_meets_first_fit():
+    rng = np.random.default_rng(5)
+    sizes = [int(x) for x in rng.integers(30, 3000, 300)]
+    best = packing.evolve(sizes, [], 4096, 1)[0]
+    assert sorted(i for b in best for i in b) == list(range(300))
+    assert all(sum(sizes[i] for i in b) <= 4096 for b in best)
+    plain = packing._Bins(4096)
+    plain.best_fit(sorted(range(300), key=lambda i: -sizes[i]), sizes)
+    assert len(best) <= len(plain.bins)
+
+
+def test_pii(docs, empty, spark):
+    crf = pii.train(pii.training_table(n=300), rounds=60)
+    right = total = 0
+    for words, tags in pii.training_table(seed=99, n=150):
+        got = pii.viterbi([crf.scores(words)], crf.move)[0]
+        right += sum(pii.TAGS[g] == t for g, t in zip(got, tags, strict=True))
+        total += len(tags)
+    assert right / total > 0.98
+    text = 'mail a.b@c.org, 10.0.0.256 10.0.0.1; 4845168114407329, 4845168114407328, +1 (017) 555-7713 token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" end'
+    more = spark.createDataFrame([(50, text), (51, "1" * 5000), (52, "@" * 50 + "x@y.z")], "doc_id long, text string")
+    rows = by_id(pii.scan(docs.select("doc_id", "text").union(more), crf))
+    r = rows[50]
+    assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == (1, 1, 1, 1)
+    spans = [s.split(":") for s in r.spans.split(",")]
+    assert {k: text[int(a) : int(b)] for k, a, b in spans} == {
+        "email": "a.b@c.org", "ip": "10.0.0.1", "card": "4845168114407329", "phone": "+1 (017) 555-7713",
+        "secret": "04dbebab91ab85687d33eeaaf9ac699e1188f962"}
+    assert rows[1].spans == "" and rows[1].base_sha256 == hashlib.sha256(b"").hexdigest() and rows[52].n_email == 1
+    assert pii.scan(empty, crf).count() == 0
+
+
+def test_viterbi_is_exact():
+    import itertools
+
+    rng = np.random.default_rng(3)
+    n = len(pii.TAGS)
+    move = (rng.normal(size=(n, n)) + pii._allowed()).astype(np.float32)
+    start = np.array([-1e4 if t[0] == "I" else 0 for t in pii.TAGS])
+    scores = [rng.normal(size=(k, n)).astype(np.float32) for k in (1, 2, 3, 4)]
+    for s, got in zip(scores, pii.viterbi(scores, move), strict=True):
+        value = lambda p, s=s: start[p[0]] + sum(s[i, t] for i, t in enumerate(p)) + sum(move[a, b] for a, b in itertools.pairwise(p))
+        assert value(list(got)) == pytest.approx(max(map(value, itertools.product(range(n), repeat=len(s)))), abs=1e-3)
+
+
+def test_base_patterns_match_plain_regexes():
+    import random
+
+    r = random.Random(6)
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    for _ in range(4000):
+        t = "".join(r.choice("a1.@+ -%b2") for _ in range(50))
+        assert [m.span() for m in email.finditer(t)] == pii.emails(t)
+        assert [m.span() for m in ip.finditer(t)] == [m.span() for m in pii._IP.finditer(t)]
+
+
+def test_toxicity(docs, empty, spark):
+    rng = np.random.default_rng(7)
+    words = ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(400)]
+    bad = ["vilewretch", "gruesome", "nastyfool"]
+
+    def text(y):
+        t = list(rng.choice(words, 60))
+        return " ".join(t[:30] + (list(rng.choice(bad, 3)) if y else []) + t[30:])
+
+    rows = [(i, text(i % 4 == 0), int(i % 4 == 0)) for i in range(900)]
+    all_docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows] + [(3, 1, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    got = by_id(toxicity.classify(all_docs, labels))
+    assert len(got) == 900
+    for i, r in got.items():
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+    held = [(got[i].predicted, y) for i, _, y in rows if got[i].held_out]
+    assert np.mean([p == y for p, y in held]) > 0.97
+    odd = toxicity.classify(docs, labels).collect()
+    assert len(odd) == len(TEXTS) and all(r.score is not None for r in odd)
+    assert toxicity.classify(empty, labels).count() == 0
+    assert {r.predicted for r in toxicity.classify(docs, labels.limit(0)).collect()} == {0}
+
+
+def test_language(spark):
+    texts = {"en": "the cat sat on the mat with this thing", "fr": "le chat est sur la table avec une chose", "de": "die katze sitzt auf der matte und schläft"}
+    model = langid.fit([(k, v) for k, v in texts.items() for _ in range(20)])
+    rows = []
+    for k, (lang, t) in enumerate(texts.items()):
+        rows += [(k * 100 + i, f"http://h{k}.example.{lang}/p{i}", f"<html lang='{lang}'><script>{texts['en']}</script><p>{t}</p></html>") for i in range(30)]
+    rows += [(900, "http://h1.example.fr/x", "<html><p>12345</p></html>"), (901, None, None), (902, "", ""), (903, "http://h2.example.de/y", f"<html lang=en><p>{texts['de']}</p>"), (903, "http://h2.example.de/y", f"<html lang=en><p>{texts['de']}</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("clash"))
+    out = langid.identify(pages, model).collect()
+    assert len(out) == len(rows)
+    got = {r.page_id: r for r in out}
+    langs = list(texts)
+    assert all(got[k * 100 + i].lang == langs[k] for k in range(3) for i in range(30))
+    assert got[900].lang == "fr" and got[903].lang == "de" and got[901].lang is not None
+    assert langid.identify(pages.limit(0), model).count() == 0
+    # The fusion, once more in numpy.
+    parts = [(i, *langid.page_parts(u, h)) for i, u, h in rows]
+    post = np.array([model.posterior(p[5]) for p in parts])
+    total = post.sum(axis=0) + 1
+    sums = lambda key: {v: post[[key(q) == v for q in parts]].sum(axis=0) for v in {key(p) for p in parts}}
+    hosts, domains, suffixes, declared = (sums(lambda p, j=j: p[j]) for j in (1, 2, 3, 4))
+    for p, own in zip(parts, post, strict=True):
+        up = domains[p[2]] + langid.DOMAIN_WEIGHT * total / total.sum()
+        prior = np.maximum(0, hosts[p[1]] - own) + langid.HOST_WEIGHT * up / up.sum()
+        s = suffixes[p[3]]
+        fused = own * prior / prior.sum() * (s + langid.EVIDENCE_WEIGHT * s.sum() / total.sum()) / (total + langid.EVIDENCE_WEIGHT)
+        if p[4]:
+            right = np.array([langid.DECLARED_RIGHT if x == p[4] else (1 - langid.DECLARED_RIGHT) / 3 for x in model.langs])
+            fused = fused * (declared[p[4]] + langid.EVIDENCE_WEIGHT * right) / (total + langid.EVIDENCE_WEIGHT)
+        assert got[p[0]].confidence == pytest.approx((fused / fused.sum()).max(), rel=1e-6)

@@ -1,0 +1,29 @@
+"""The corpus pipeline and the thin queries on the smallest tables."""
+
+import corpus_pipeline
+from tidewater.llm import queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_keep_columns_and_clean_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = docs.columns
+    before = docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == names, name
+        after = out.count()
+        assert 0.7 * before <= after <= before, name
+        docs, before = out, after
+
+
+def test_run(spark):
+    out = corpus_pipeline.run(spark, SF)
+    rows = out.collect()
+    assert len(rows) > 100 and max(r.offset + r.length for r in rows) <= 4096
+
+
+def test_names():
+    found = queries.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in found) == list(range(1, 11))
