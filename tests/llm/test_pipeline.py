@@ -1,5 +1,8 @@
 """The corpus pipeline and the thin queries on the smallest tables."""
 
+import duckdb
+import pytest
+
 import corpus_pipeline
 from tidewater.llm import queries
 
@@ -27,3 +30,13 @@ def test_run(spark):
 def test_names():
     found = queries.queries()
     assert sorted(int(n[2:].split("_")[0]) for n in found) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_twin(spark, name):
+    c = duckdb.connect()
+    for t in ("documents", "benchmark", "labels"):
+        c.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    twin, df = c.sql(queries.oracle_sql()[name]), queries.queries()[name](spark, SF)
+    assert sorted(twin.columns) == sorted(df.columns)
+    assert sorted(map(str, twin.fetchall())) == sorted(str(tuple(r)) for r in df.select(*twin.columns).collect())

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import decontamination, langid, licenses, linededup, packing, pii, quality, sharding, simhash, toxicity
+from tidewater.llm import decontamination, langid, licenses, linededup, oracles, packing, pii, quality, sharding, simhash, toxicity
 from tidewater.llm.common import table
 
 
@@ -59,4 +59,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.ORACLES)
