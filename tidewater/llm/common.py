@@ -22,6 +22,11 @@ def ascii_lower(col: Column) -> Column:
     )
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use spark.checkpoint.dir; fall back to a local folder in plain local mode only."""
     sc = spark.sparkContext

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import ascii_lower, cut
+from tidewater.llm.common import ascii_lower, cut, let
 
 WINDOW = 13
 #: Words of a k-gram. A span of WINDOW words has WINDOW - GRAM + 1 of them, and the
@@ -26,11 +26,6 @@ def words_of(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it often, also inside other lambdas."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _grams(words: Column, n: int) -> Column:
     """Hash of the n-gram that starts at each position."""
     return F.when(
@@ -196,12 +191,12 @@ _HIT = "array<struct<h:bigint,at:int,left:array<string>,gram:array<string>,right
 
 
 def _inline_hits(known: list[int], gram: int, neighbours: int, reach: int) -> Column:
-    return _let(_grams(F.col("words"), gram), lambda g: _hits(g, neighbours, known, gram, reach))
+    return let(_grams(F.col("words"), gram), lambda g: _hits(g, neighbours, known, gram, reach))
 
 
 def _hits(grams: Column, neighbours: int, known: list[int], gram: int, reach: int) -> Column:
     met = F.filter(_winnow(grams, neighbours), lambda h: h.isin(known))
-    return _let(
+    return let(
         met,
         lambda m: F.when(F.size(m) > 0, _places(grams, m, gram, reach)).otherwise(F.array()).cast(_HIT),
     )
@@ -210,13 +205,13 @@ def _hits(grams: Column, neighbours: int, known: list[int], gram: int, reach: in
 def _joined_hits(base: DataFrame, keys: DataFrame, name: str, gram: int, neighbours: int, reach: int) -> DataFrame:
     """The same hits when the index is too large to be held in an expression: two equi-joins."""
     offered = base.select(
-        "doc_id", F.explode(_let(_grams(F.col("words"), gram), lambda g: _winnow(g, neighbours))).alias("h")
+        "doc_id", F.explode(let(_grams(F.col("words"), gram), lambda g: _winnow(g, neighbours))).alias("h")
     )
     met = offered.join(keys, "h", "left_semi").groupBy("doc_id").agg(F.collect_set("h").alias("met"))
     return base.join(met, "doc_id", "left").withColumn(
         name,
         F.when(
             F.col("met").isNotNull(),
-            _let(_grams(F.col("words"), gram), lambda g: _places(g, F.col("met"), gram, reach)),
+            let(_grams(F.col("words"), gram), lambda g: _places(g, F.col("met"), gram, reach)),
         ).otherwise(F.array()).cast(_HIT),
     ).drop("met")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import cut
+from tidewater.llm.common import cut, let
 
 #: Bounds of the labelled sample: languages, documents of each, bytes of a document.
 MAX_LANGS, DOCS_PER_LANG, MAX_TEXT_BYTES = 32, 300, 50_000
@@ -124,7 +124,7 @@ def _total(a: Column) -> Column:
 
 
 def _normal(a: Column) -> Column:
-    return F.get(F.transform(F.array(a), lambda v: F.transform(v, lambda x: x / _total(v))), F.lit(0))
+    return let(a, lambda v: F.transform(v, lambda x: x / _total(v)))
 
 
 def identify(pages: DataFrame, model: TextModel) -> DataFrame:

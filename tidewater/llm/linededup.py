@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import connected_components, cut, small
+from tidewater.llm.common import connected_components, cut, let, small
 
 #: Lines of fewer words are never touched: such lines repeat in clean text.
 MIN_WORDS = 5
@@ -156,14 +156,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     drops = drops.select(F.col("doc_id").alias("_id"), F.col("doc_key").alias("_key"), F.col("drop").alias("_drop"))
     joined = docs.join(drops, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left")
     parts = F.split("text", "\n")
-    kept = F.get(
-        F.transform(
-            F.array(parts),
-            lambda p: F.array_join(
-                F.transform(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), F.col("_drop")), lambda i: F.get(p, i)), "\n"
-            ),
+    kept = let(
+        parts,
+        lambda p: F.array_join(
+            F.transform(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), F.col("_drop")), lambda i: F.get(p, i)), "\n"
         ),
-        F.lit(0),
     )
     own = [F.when(F.col("_drop").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]
     return joined.select(

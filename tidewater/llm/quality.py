@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import cut
+from tidewater.llm.common import cut, let
 
 #: A rule may reject at most this share of a stratum's good documents ...
 RISK = 0.02
@@ -28,10 +28,6 @@ MIN_WORDS = 50
 SPACE = "[\\x20\\x09-\\x0D]+"
 
 
-def _let(value: Column, body) -> Column:
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _words(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
@@ -46,7 +42,7 @@ def _repeat_words(words: Column) -> Column:
         s,
         lambda x, i: (x["h"] == F.get(s, i + 1)["h"]).eqNullSafe(True) | (x["h"] == F.get(s, i - 1)["h"]).eqNullSafe(True),
     )
-    places = _let(F.sort_array(windows), lambda s: F.sort_array(F.transform(twice(s), lambda x: x["at"])))
+    places = let(F.sort_array(windows), lambda s: F.sort_array(F.transform(twice(s), lambda x: x["at"])))
     zero = F.struct(F.lit(0).alias("n"), F.lit(-9).alias("last"))
     covered = F.aggregate(
         places,
