@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import math
+import sys
+import unicodedata
 import zlib
+from array import array
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -16,7 +20,14 @@ from tidewater.llm.common import cut
 CAPACITY = 4096
 END_ID = 1
 #: Chunks whose ids a worker remembers.
-MEMO = 200_000
+MEMO = 150_000
+LITTLE = sys.byteorder == "little"
+#: Fixed value: how the tokenizer divides a text, as its file states.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_OTHER = [b for b in range(256) if b not in set(_PRINTABLE)]
+#: The character that stands for each byte in a byte-level vocabulary.
+_BYTE_CHARS = {b: chr(b) for b in _PRINTABLE} | {b: chr(0x100 + k) for k, b in enumerate(_OTHER)}
 #: Pieces of a block, and islands that evolve each block.
 BLOCK, ISLANDS = 1500, 2
 POPULATION, GENERATIONS, EPOCHS = 4, 4, 2
@@ -25,38 +36,76 @@ ROUNDS = 3
 FULL_ENOUGH = 0.995
 
 
+class _Memo(dict):
+    """Computes what it doesn't hold; emptied by its owner when it is too large."""
+
+    def __init__(self, compute):
+        super().__init__()
+        self.compute = compute
+
+    def __missing__(self, key):
+        value = self[key] = self.compute(key)
+        return value
+
+
 class ChunkEncoder:
     """Ids as little-endian uint32 bytes, equal to the tokenizer's on the whole text.
 
     The tokenizer's pre-tokens never cross white space, so a text's ids are those
-    of its white-space chunks in order; each distinct chunk is encoded once by the
-    library and remembered. Where that isn't sure (its special tokens' strings,
-    separators that only Python takes for white space) the whole text is encoded.
+    of its white-space chunks in order, and a chunk's those of its words and
+    runs of other signs. Distinct chunks and words are remembered; a word's ids
+    come from the library's model. Where the split isn't sure (the tokenizer's
+    special strings, separators that only Python takes for white space, letters
+    beyond the Latin ones) the library encodes the chunk or the whole text.
     """
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
+        self.parts = regex.compile(WORD_PATTERN).findall
+        self.model = self.tokenizer.model
+        self.chunks, self.words = _Memo(self._chunk), _Memo(self._word)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        if not (word.isascii() and word.isprintable()):
+            word = "".join([_BYTE_CHARS[b] for b in word.encode()])
+        ids = array("I", [t.id for t in self.model.tokenize(word)])
+        return ids.tobytes() if LITTLE else np.array(ids, "<u4").tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        if not chunk.isascii() and max(chunk) >= "\u0250":
+            return self.whole(chunk)
+        words = self.words
+        if chunk.isalpha():
+            return words[chunk]
+        if chunk[:-1].isalpha():
+            return words[chunk[:-1]] + words[chunk[-1]]
+        return b"".join([words[w] for w in self.parts(chunk)])
+
     def encode(self, text: str) -> bytes:
+        if not text.isascii():
+            if any(c in text for c in "\u03a3\u0130"):  # lower-cased by context
+                return self.whole(text)
+            text = unicodedata.normalize("NFC", text)
         if any(s in text for s in self.specials) or any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self.whole(text)
-        chunks, memo = text.split(), self.memo
-        try:
-            return b"".join([memo[c] for c in chunks])
-        except KeyError:
+        for memo in (self.chunks, self.words):
             if len(memo) > MEMO:
                 memo.clear()
-            new = [c for c in dict.fromkeys(chunks) if c not in memo]
-            found = self.tokenizer.encode_batch(new, add_special_tokens=False)
-            memo.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(new, found, strict=True))
-            return b"".join([memo[c] for c in chunks])
+        chunks = self.chunks
+        return b"".join([chunks[c] for c in text.lower().split()])
+
+
+@functools.cache
+def _encoder(path: str) -> ChunkEncoder:
+    """One for a worker, whatever the number of its tasks."""
+    return ChunkEncoder(path)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
@@ -70,7 +119,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep_
     names = ["doc_id", "copy", "piece", "start", "length", "ids_crc32", *["ids"] * keep_ids]
 
     def batches(it):
-        encoder = ChunkEncoder(tokenizer_path)
+        encoder = _encoder(tokenizer_path)
         end = np.array([END_ID], "<u4").tobytes()
         for b in it:
             rows, out = [], [[] for _ in range(6)]
@@ -245,9 +294,9 @@ def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     found = cut(found)
     rest = found.where(F.col("length") < capacity).select("doc_id", "copy", "piece", "length")
     done = found.where(F.col("length") >= capacity).select(
-        "doc_id", "copy", "piece", F.xxhash64("doc_id", "copy", "piece", F.lit("full")).alias("sequence_id")
+        "copy", "piece", F.xxhash64("doc_id", "copy", "piece", F.lit("full")).alias("sequence_id")
     )
-    keys = ["doc_id", "copy", "piece"]
+    keys = ["copy", "piece"]  # a copy is one row of the input; ids may be null or repeat
     for turn in range(ROUNDS):
         n = rest.count()
         if not n:
