@@ -107,12 +107,12 @@ def fit(rows: list[tuple[str, str | None, int]]) -> Model:
     rest the weights, the choice among SHARES and the logistic curve.
     """
     part = [zlib.crc32(b"part" + str(k).encode()) % 4 for k, _, _ in rows]
-    build = [(windows(t), y) for (_, t, y), p in zip(rows, part, strict=True) if p]
     hold = [(t, y) for (_, t, y), p in zip(rows, part, strict=True) if not p]
     toxic, plain, n = Counter(), Counter(), [0, 0]
-    for words, y in build:
-        (toxic if y else plain).update(set(words))
-        n[bool(y)] += 1
+    for (_, t, y), p in zip(rows, part, strict=True):
+        if p:
+            (toxic if y else plain).update(set(windows(t)))
+            n[bool(y)] += 1
     ranked = sorted(plain, key=lambda w: (-plain[w], w))
     common = ranked[:COMMON_WORDS][::-1]
     base = b" " + b" ".join(common) + b" "
