@@ -42,15 +42,12 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _classes(lines: DataFrame) -> DataFrame:
     """One row a distinct line: key (a, b), how often, where first, and its MinHash bands."""
-    marks = lines.select("a", "b", "doc_id", "doc_key", "nth", F.explode_outer(shingles(F.col("line"))).alias("s")).select(
-        "a", "b", "doc_id", "doc_key", "nth", F.xxhash64("s").alias("h")
-    )
-    lows = [F.min(F.hash("h", F.lit(i))).alias(f"m{i}") for i in range(BANDS * ROWS)]
-    found = marks.groupBy("a", "b").agg(
-        F.min(F.struct("doc_id", "doc_key", "nth")).alias("first"),
-        F.max(F.struct("doc_id", "doc_key", "nth")).alias("last"),
-        *lows,
-    )
+    # Two aggregations over one partitioning: minima of numbers go through a hash table,
+    # which the structs would turn into a sort of all shingles.
+    marks = lines.select("a", "b", F.explode_outer(shingles(F.col("line"))).alias("s")).select("a", "b", F.xxhash64("s").alias("h"))
+    lows = marks.groupBy("a", "b").agg(*[F.min(F.hash("h", F.lit(i))).alias(f"m{i}") for i in range(BANDS * ROWS)])
+    place = F.struct("doc_id", "doc_key", "nth")
+    found = lines.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last")).join(lows, ["a", "b"])
     bands = F.array(*[F.xxhash64(F.lit(k), *[f"m{k * ROWS + j}" for j in range(ROWS)]) for k in range(BANDS)])
     return found.select("a", "b", "first", (F.col("first") != F.col("last")).alias("repeated"), bands.alias("bands"))
 
