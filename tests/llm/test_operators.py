@@ -219,6 +219,21 @@ def test_line_dedup(docs, empty, spark):
     assert got[100].n_dropped == 1 and got[0].n_dropped == 0
 
 
+def test_line_dedup_covers_large_buckets(spark):
+    """Chains of windows, a family and lone lines, all in one bucket of more than BUCKET_LIMIT lines."""
+    chain = [" ".join(f"q{c}word{i}" for i in range(4 * k, 4 * k + 60)) for c in range(2) for k in range(30)]
+    family = [" ".join(f"fam{i}" for i in range(60)) + f" tail{k}" for k in range(25)]
+    texts = [*chain, *family, *[" ".join(f"lone{k}x{i}" for i in range(30)) for k in range(5)]]
+    lines = spark.createDataFrame([(i, -i, t) for i, t in enumerate(texts)], "a long, b long, line string")
+    bands = lines.select("a", "b", F.array(F.lit(7)).alias("bands"))
+    links = [(r.a, r.a2) for r in linededup._links(bands, lines).collect()]
+    sets = [set(r.s) for r in lines.orderBy("a").select(linededup.shingles(F.col("line")).alias("s")).collect()]
+    near = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    groups = lambda pairs: components(range(len(texts)), pairs)
+    assert len(texts) > linededup.BUCKET_LIMIT and set(links) <= set(near) | {(j, i) for i, j in near}
+    assert groups(links) == groups(near)
+
+
 def test_packing(docs, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     from tokenizers import Tokenizer

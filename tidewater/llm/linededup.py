@@ -66,13 +66,50 @@ def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _members(links: DataFrame) -> DataFrame:
+    """(a, b, component) for every line of a link."""
+    # Lines of links get one long as their name; it is checked to be one to one.
+    ends = links.select("a", "b").union(links.select("a2", "b2")).distinct()
+    named = cut(ends.select("a", "b", F.xxhash64("a", "b", F.lit("name")).alias("node")))
+    n, different = named.agg(F.count("*"), F.count_distinct("node")).first()
+    if n != different:
+        raise RuntimeError("two lines have one name")
+    to = named.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("node").alias("node2"))
+    parts = connected_components(links.join(named, ["a", "b"]).join(to, ["a2", "b2"]), "node", "node2")
+    return named.join(parts, "node").select("a", "b", "component")
+
+
+def _across(large: DataFrame, links: DataFrame) -> DataFrame:
+    """The pairs of each bucket whose lines ``links`` don't join, be it over other lines.
+
+    Lines of a bucket's largest component are only paired with lines outside of it.
+    """
+    sides = cut(large.join(_members(links), ["a", "b"], "left"))
+    counts = sides.where("component is not null").groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    main = counts.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+    sides = cut(sides.join(main, "bucket", "left").withColumn("inside", F.coalesce(F.col("component") == F.col("main"), F.lit(False))))
+    other = sides.select(
+        "bucket", F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("component").alias("component2"), F.col("inside").alias("inside2")
+    )
+    return (
+        sides.where("not inside")
+        .join(other, "bucket")
+        .where("inside2 or a < a2 or (a = a2 and b < b2)")
+        .where("component is null or component2 is null or component <> component2")
+        .select("a", "b", "a2", "b2")
+        .distinct()
+    )
+
+
 def _links(classes: DataFrame, lines: DataFrame) -> DataFrame:
     """Verified links between distinct lines.
 
     A bucket of up to BUCKET_LIMIT lines is compared pair by pair. In a larger one
     every line is compared with the bucket's leader; those that aren't like it
     make up a smaller bucket with another leader, until what is left of a bucket
-    is compared pair by pair. Leaders differ from band to band.
+    is compared pair by pair. Leaders differ from band to band. Then all pairs of
+    a large bucket that the links so far don't join are compared, so that the
+    components are those of all pairs of all buckets.
     """
     buckets = classes.select("a", "b", F.explode("bands").alias("bucket"))
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
@@ -86,7 +123,7 @@ def _links(classes: DataFrame, lines: DataFrame) -> DataFrame:
     )
     few = crowded.where(F.col("n") <= BUCKET_LIMIT).select("bucket", "a", "b")
     large = crowded.where(F.col("n") > BUCKET_LIMIT).select("bucket", "a", "b")
-    found = None
+    found, whole = None, large
     for turn in range(LEADER_ROUNDS):
         if not large.take(1):
             break
@@ -106,7 +143,10 @@ def _links(classes: DataFrame, lines: DataFrame) -> DataFrame:
     other = few.select("bucket", F.col("a").alias("a2"), F.col("b").alias("b2"))
     pairs = few.join(other, "bucket").where("a < a2 or (a = a2 and b < b2)").select("a", "b", "a2", "b2").distinct()
     checked = _alike(pairs, sets)
-    return cut(checked if found is None else checked.union(found))
+    if found is None:
+        return cut(checked)
+    known = cut(checked.union(found))
+    return known.union(cut(_alike(_across(whole, known), sets)))
 
 
 def doubles(docs: DataFrame) -> DataFrame:
@@ -114,15 +154,7 @@ def doubles(docs: DataFrame) -> DataFrame:
     lines = _lines(docs)
     classes = cut(_classes(lines))
     links = _links(classes, lines)
-    # Lines of links get one long as their name; it is checked to be one to one.
-    ends = links.select("a", "b").union(links.select("a2", "b2")).distinct()
-    named = cut(ends.select("a", "b", F.xxhash64("a", "b", F.lit("name")).alias("node")))
-    n, different = named.agg(F.count("*"), F.count_distinct("node")).first()
-    if n != different:
-        raise RuntimeError("two lines have one name")
-    to = named.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("node").alias("node2"))
-    parts = connected_components(links.join(named, ["a", "b"]).join(to, ["a2", "b2"]), "node", "node2")
-    member = named.join(parts, "node").select("a", "b", "component")
+    member = _members(links)
     joined = member.join(classes.select("a", "b", "first"), ["a", "b"])
     keeper = joined.groupBy("component").agg(F.min("first").alias("keep"))
     fuzzy = joined.join(keeper, "component").select("a", "b", "keep")
