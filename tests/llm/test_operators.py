@@ -234,6 +234,16 @@ def test_line_dedup_covers_large_buckets(spark):
     assert groups(links) == groups(near)
 
 
+def test_line_dedup_takes_lines_without_plain_spaces(spark):
+    long = ["".join(chr(0x4E00 + i * 7 % 997) for i in range(500)), "这是一个重复的句子没有空格", "one\ttwo\tthree\tfour\tfive", "aa\u00a0bb\u00a0cc\u00a0dd\u00a0ee", "x" * 30 + "-" + "y" * 30, "a中b中c"]
+    short = ["one two three four", "标题", "short", "a\tb", "\t" * 60, "\u00a0" * 60]
+    rows = [(i, "\n".join([*long, *short])) for i in range(3)]
+    got = by_id(linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got[0].text == rows[0][1]
+    for i in (1, 2):
+        assert got[i].text.split("\n") == short and got[i].n_dropped == len(long)
+
+
 def test_packing(docs, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     from tokenizers import Tokenizer

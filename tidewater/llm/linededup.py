@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import connected_components, cut, let, small
 
-#: Lines of fewer words are never touched: such lines repeat in clean text.
-MIN_WORDS = 5
+#: Lines of fewer words and fewer characters are never touched: such lines repeat in clean text.
+MIN_WORDS, MIN_CHARS = 5, 40
+#: White space, with that of Unicode; letters of scripts without spaces, of which two count as a word.
+_SPACE = r"\s\x85\p{Z}"
+_DENSE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
 #: Characters of a shingle, and the Jaccard similarity from which lines are alike.
 SHINGLE, SIMILARITY = 8, 0.8
 #: Bands and rows: a pair at the similarity bound meets with 98.5 %, at 0.9 with 99.98 %.
@@ -23,11 +26,11 @@ def _normal(line: Column) -> Column:
 
 
 def shingles(line: Column) -> Column:
-    """Character shingles that begin a word; of lines with few words, those at every place."""
+    """Character shingles that begin a word; of lines with few words, those at every place; shorter lines themselves."""
     anchored = F.regexp_extract_all(F.concat(F.lit(" "), line), F.lit(f"(?= (.{{{SHINGLE}}}))"), F.lit(1))
     every = F.regexp_extract_all(line, F.lit(f"(?=(.{{{SHINGLE}}}))"), F.lit(1))
     few = (F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))) * 24 < F.length(line)
-    return F.when(few, every).otherwise(anchored)
+    return F.when(F.length(line) < SHINGLE, F.array(line)).when(few, every).otherwise(anchored)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -35,7 +38,10 @@ def _lines(docs: DataFrame) -> DataFrame:
     return (
         docs.select("doc_id", F.xxhash64("text").alias("doc_key"), F.posexplode(F.split("text", "\n")).alias("nth", "raw"))
         .select("doc_id", "doc_key", "nth", _normal(F.col("raw")).alias("line"))
-        .where(F.col("line").rlike(f"^(?:[^ ]+ +){{{MIN_WORDS - 1}}}[^ ]"))
+        .where(
+            (F.length("line") >= MIN_CHARS) & F.col("line").rlike(f"[^{_SPACE}]")
+            | F.col("line").rlike(f"^(?:[{_SPACE}]*+(?:[{_DENSE}]{{1,2}}+|[^{_SPACE}{_DENSE}]++)){{{MIN_WORDS}}}")
+        )
         .select("*", F.xxhash64("line").alias("a"), F.xxhash64(F.lit("line"), "line").alias("b"))
     )
 
@@ -175,8 +181,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """The columns of ``docs`` with repeated lines taken out of ``text``, and n_lines, n_dropped.
 
     Lines are compared lower-cased and trimmed. Of all lines of at least MIN_WORDS
-    words that are equal or linked by similarity, the one that comes first by
-    (doc_id, place) stays. Documents stay even when nothing is left of them. Null
+    words or MIN_CHARS characters that are equal or linked by similarity, the one
+    that comes first by (doc_id, place) stays. Words end at any white space; two
+    letters of a script without spaces count as one. Documents stay even when nothing is left of them. Null
     texts stay null; rows without an id are left as they are; rows equal in id and
     text count as one and stay alike; empty tables give an empty result. Other
     columns pass through, also those named like this operator's own.
