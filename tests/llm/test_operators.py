@@ -392,3 +392,25 @@ def test_language(spark):
             right = np.array([langid.DECLARED_RIGHT if x == p[4] else (1 - langid.DECLARED_RIGHT) / 3 for x in model.langs])
             fused = fused * (declared[p[4]] + langid.EVIDENCE_WEIGHT * right) / (total + langid.EVIDENCE_WEIGHT)
         assert got[p[0]].confidence == pytest.approx((fused / fused.sum()).max(), rel=1e-6)
+
+
+def test_declared_language_is_looked_for_in_whole_pages(spark):
+    import random
+
+    far = "<!--" + "x" * 30_000 + "-->"
+    assert langid.page_parts(None, far + "<html lang='fr'>a")[3] == "fr"
+    assert langid.page_parts(None, far + "<META http-equiv=content-language content=DE>a")[3] == "de"
+    open_ = "<html " * 200_000 + "<meta content-language " * 100_000 + "lang=" + " " * 100_000
+    assert not langid._declared(open_, *langid._LANG) and not langid._declared(open_, *langid._META)
+    plain = [r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b", r"(?is)<meta\b[^>]*?content-language[^>]*?content\s*=\s*[\"']?\s*([a-z]{2,3})\b"]
+    r, seen = random.Random(8), 0
+    parts = ["<html", "<meta", " ", " ", "lang", "=", "'", '"', "en", "fra", ">", "content-language", "content", "x", "<"]
+    for _ in range(20_000):
+        t = "".join(r.choice(parts) for _ in range(30))
+        m = re.search(plain[0], t) or re.search(plain[1], t)
+        seen += m is not None
+        assert langid.page_parts(None, t)[3] == (m[1] if m else ""), t
+    assert seen > 30
+    rows = [(i, f"l{i % 40:02}", f"text {i}") for i in range(800)]
+    drawn = langid.sample(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    assert drawn == sorted((lang, text) for _, lang, text in rows)

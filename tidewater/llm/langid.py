@@ -9,12 +9,13 @@ from html import unescape
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import cut, let
 
-#: Bounds of the labelled sample: languages, documents of each, bytes of a document.
-MAX_LANGS, DOCS_PER_LANG, MAX_TEXT_BYTES = 32, 300, 50_000
+#: Bounds of the labelled sample: documents of each language, bytes of a document.
+DOCS_PER_LANG, MAX_TEXT_BYTES = 300, 50_000
 BUCKETS = 1 << 15
 #: The trigrams of a page count as this many independent ones at most.
 EFFECTIVE = 60
@@ -25,20 +26,37 @@ DECLARED_RIGHT = 0.8
 
 _HIDDEN = re.compile(r"(?is)<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->")
 _TAG = re.compile(r"(?s)<[^>]*>")
-_LANG = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b")
-_META = re.compile(r"(?is)<meta\b[^>]*?content-language[^>]*?content\s*=\s*[\"']?\s*([a-z]{2,3})\b")
+_VALUE = r"\s*+=\s*+[\"']?+\s*+([a-z]{2,3})\b"
+#: Beginning of a tag and what is looked for in it, one after the other.
+_LANG = [re.compile(r"(?i)<html\b"), re.compile(r"(?i)\blang" + _VALUE)]
+_META = [re.compile(r"(?i)<meta\b"), re.compile(r"(?i)content-language"), re.compile(r"(?i)content" + _VALUE)]
 _HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", re.I)
 
 
+def _declared(html: str, begin: re.Pattern, *parts: re.Pattern) -> str:
+    """The value in the first tag that has all parts, anywhere in the page; linear in its length."""
+    m = begin.search(html)
+    while m:
+        # What begins later but before the same '>' can't have more parts.
+        end = html.find(">", m.end())
+        end = len(html) if end < 0 else end
+        for part in parts:
+            m = m and part.search(html, m.end(), end)
+        if m:
+            return m[1].lower()
+        m = begin.search(html, end)
+    return ""
+
+
 def page_parts(url: str | None, html: str | None) -> tuple[str, str, str, str, str]:
     """host, domain, suffix, declared language and visible text; '' for what there isn't."""
     m = _HOST.match(url or "")
     host = m[1].lower().rstrip(".") if m else ""
     labels = host.split(".")
     html = html or ""
-    d = _LANG.search(html[:20_000]) or _META.search(html[:20_000])
+    declared = _declared(html, *_LANG) or _declared(html, *_META)
     text = unescape(_TAG.sub(" ", _HIDDEN.sub(" ", html)))
-    return host, ".".join(labels[-2:]), labels[-1], d[1].lower() if d else "", text
+    return host, ".".join(labels[-2:]), labels[-1], declared, text
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -76,20 +94,14 @@ def fit(rows: list[tuple[str, str]]) -> TextModel:
 
 
 def sample(docs: DataFrame) -> list[tuple[str, str]]:
-    """(language, text) rows for ``fit``: the most frequent languages, documents by a hash of their id."""
+    """(language, text) rows for ``fit``: all labelled languages, documents of each by a hash of their id."""
     known = docs.where(
         F.col("lang").isNotNull() & (F.col("lang") != "") & F.col("doc_id").isNotNull() & (F.octet_length("text") <= MAX_TEXT_BYTES)
     )
-    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
-    langs = [r[0] for r in counts.orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()]
-    ids = None
-    for lang in langs:
-        drawn = known.where(F.col("lang") == lang).select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(DOCS_PER_LANG)
-        ids = drawn if ids is None else ids.union(drawn)
-    if ids is None:
-        return []
-    rows = known.join(F.broadcast(ids.distinct()), "doc_id", "left_semi").select("lang", "text").collect()
-    return sorted((r[0], r[1]) for r in rows if r[0] in langs)
+    place = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id"))
+    ids = known.select("lang", "doc_id").withColumn("place", place).where(F.col("place") <= DOCS_PER_LANG).select("doc_id").distinct()
+    rows = known.join(F.broadcast(ids), "doc_id", "left_semi").select("lang", "text").collect()
+    return sorted((r[0], r[1]) for r in rows)
 
 
 def read_pages(pages: DataFrame, model: TextModel) -> DataFrame:
