@@ -244,6 +244,27 @@ def test_line_dedup_takes_lines_without_plain_spaces(spark):
         assert got[i].text.split("\n") == short and got[i].n_dropped == len(long)
 
 
+def test_line_similarity_is_of_all_shingles(spark):
+    import random
+
+    r = random.Random(1)
+    rows, want = [], []
+    while len(rows) < 400:
+        words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(34)]
+        x = " ".join(words)
+        at = r.sample([i for i in range(len(x)) if x[i] != " "], 2)
+        y = "".join("0" if i in at else c for i, c in enumerate(x))
+        own = [{t[i : i + 8] for i in range(len(t) - 7)} for t in (x, y)]
+        rows.append((len(rows), x, y))
+        want.append(len(own[0] & own[1]) / len(own[0] | own[1]))
+    pairs = spark.createDataFrame(rows, "id long, x string, y string")
+    got = [v for _, v in sorted(map(tuple, pairs.select("id", linededup._jaccard(F.col("x"), F.col("y"))).collect()))]
+    assert got == pytest.approx(want) and min(want) >= 0.8
+    docs = pairs.select((2 * F.col("id")).alias("doc_id"), F.col("x").alias("text")).union(pairs.select(2 * F.col("id") + 1, "y"))
+    dropped = sum(v.n_dropped for v in linededup.dedup_lines(docs).collect())
+    assert 0.97 * len(rows) <= dropped <= len(rows)
+
+
 def test_packing(docs, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     from tokenizers import Tokenizer

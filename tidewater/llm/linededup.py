@@ -26,11 +26,9 @@ def _normal(line: Column) -> Column:
 
 
 def shingles(line: Column) -> Column:
-    """Character shingles that begin a word; of lines with few words, those at every place; shorter lines themselves."""
-    anchored = F.regexp_extract_all(F.concat(F.lit(" "), line), F.lit(f"(?= (.{{{SHINGLE}}}))"), F.lit(1))
-    every = F.regexp_extract_all(line, F.lit(f"(?=(.{{{SHINGLE}}}))"), F.lit(1))
-    few = (F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))) * 24 < F.length(line)
-    return F.when(F.length(line) < SHINGLE, F.array(line)).when(few, every).otherwise(anchored)
+    """Character shingles at every place; of lines shorter than one the line itself."""
+    every = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
+    return F.when(F.length(line) < SHINGLE, F.array(line)).otherwise(every)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -58,17 +56,22 @@ def _classes(lines: DataFrame) -> DataFrame:
     return found.select("a", "b", "first", (F.col("first") != F.col("last")).alias("repeated"), bands.alias("bands"))
 
 
-def _jaccard(x: str, y: str) -> Column:
-    both = F.size(F.array_intersect(x, y))
-    return both / (F.size(x) + F.size(y) - both)
+def _jaccard(x: Column, y: Column) -> Column:
+    """Of the sets of all shingles of two lines."""
+    ratio = lambda u, v: let(F.size(F.array_intersect(u, v)), lambda n: n / (F.size(u) + F.size(v) - n))
+    return let(F.array_distinct(shingles(x)), lambda u: let(F.array_distinct(shingles(y)), lambda v: ratio(u, v)))
 
 
-def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b, a2, b2) whose shingle sets are similar enough, by the sets themselves."""
-    left = sets.select("a", "b", F.col("set").alias("x"))
-    right = sets.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("set").alias("y"))
+    # Texts travel and not sets, which are several times as large.
+    left = texts.select("a", "b", F.col("line").alias("x"))
+    right = texts.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("line").alias("y"))
     return (
-        pairs.join(left, ["a", "b"]).join(right, ["a2", "b2"]).where(_jaccard("x", "y") >= SIMILARITY).select("a", "b", "a2", "b2")
+        pairs.join(left, ["a", "b"])
+        .join(right, ["a2", "b2"])
+        .where(_jaccard(F.col("x"), F.col("y")) >= SIMILARITY)
+        .select("a", "b", "a2", "b2")
     )
 
 
@@ -121,12 +124,7 @@ def _links(classes: DataFrame, lines: DataFrame) -> DataFrame:
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     crowded = cut(buckets.join(sizes, "bucket").select("bucket", "a", "b", "n"))
     keys = crowded.select("a", "b").distinct()
-    sets = cut(
-        lines.join(small(keys), ["a", "b"])
-        .groupBy("a", "b")
-        .agg(F.first("line").alias("line"))
-        .select("a", "b", F.array_distinct(F.transform(shingles(F.col("line")), lambda s: F.xxhash64(s))).alias("set"))
-    )
+    texts = cut(lines.join(small(keys), ["a", "b"]).groupBy("a", "b").agg(F.first("line").alias("line")))
     few = crowded.where(F.col("n") <= BUCKET_LIMIT).select("bucket", "a", "b")
     large = crowded.where(F.col("n") > BUCKET_LIMIT).select("bucket", "a", "b")
     found, whole = None, large
@@ -138,7 +136,7 @@ def _links(classes: DataFrame, lines: DataFrame) -> DataFrame:
         )
         tried = large.join(lead.select("bucket", F.col("l.a").alias("a2"), F.col("l.b").alias("b2")), "bucket")
         pairs = tried.select("a", "b", "a2", "b2").where("a <> a2 or b <> b2").distinct()
-        good = cut(_alike(pairs, sets))
+        good = cut(_alike(pairs, texts))
         found = good if found is None else found.union(good)
         rest = tried.where("a <> a2 or b <> b2").join(good, ["a", "b", "a2", "b2"], "left_anti").select("bucket", "a", "b")
         left = rest.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
@@ -148,11 +146,11 @@ def _links(classes: DataFrame, lines: DataFrame) -> DataFrame:
     few = few.union(large)
     other = few.select("bucket", F.col("a").alias("a2"), F.col("b").alias("b2"))
     pairs = few.join(other, "bucket").where("a < a2 or (a = a2 and b < b2)").select("a", "b", "a2", "b2").distinct()
-    checked = _alike(pairs, sets)
+    checked = _alike(pairs, texts)
     if found is None:
         return cut(checked)
     known = cut(checked.union(found))
-    return known.union(cut(_alike(_across(whole, known), sets)))
+    return known.union(cut(_alike(_across(whole, known), texts)))
 
 
 def doubles(docs: DataFrame) -> DataFrame:
