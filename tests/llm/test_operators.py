@@ -204,6 +204,39 @@ def test_licenses(docs, empty, spark):
     assert 200 <= len(licenses.rules()) and all(re.compile(x) for *_, x in licenses.rules())
 
 
+def spelled(parsed):
+    """All texts that a parsed pattern of literals, branches, classes and optional parts allows."""
+    out = [""]
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            own = [chr(arg)]
+        elif op == "IN":
+            own = [chr(c) for _, c in arg]
+        elif op == "BRANCH":
+            own = [x for b in arg[1] for x in spelled(b)]
+        elif op == "SUBPATTERN":
+            own = spelled(arg[3])
+        else:
+            assert op == "MAX_REPEAT" and arg[:2] == (0, 1), op
+            own = ["", *spelled(arg[2])]
+        out = [a + b for a in out for b in own]
+    return out
+
+
+def test_license_keywords_are_in_all_that_their_rules_match(spark):
+    for label, keyword, name, _ in licenses.FAMILIES:
+        assert all(keyword in x for x in spelled(re._parser.parse(name))), (label, name)
+    holder = "the very long name of a university department " * 5
+    want = {
+        "Zero-Clause BSD License": "0bsd", "zero-clause BSD": "0bsd", "Licensed under GPL-2.0": "gpl-2.0", "under LGPL-2.1": "lgpl-2.1",
+        "under AGPL-3.0": "agpl-3.0", "under MPL-2.0": "mpl-2.0", "GPL v 3": "gpl-3.0", "GPLv3": "gpl-3.0",
+        f"Neither the name of {holder} nor the names of its contributors": "bsd-3-clause"}
+    rows = by_id(licenses.scan(spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")))
+    for i, (text, label) in enumerate(want.items()):
+        assert label in rows[i].labels.split(","), (text, rows[i].labels)
+
+
 def test_line_dedup(docs, empty, spark):
     out = linededup.dedup_lines(docs)
     assert out.columns[: len(docs.columns)] == docs.columns and out.count() == len(TEXTS)

@@ -21,25 +21,25 @@ FAMILIES = [
     ("mit-0", "mit", "mit no attribution(?: license)?", "mit 0"),
     ("apache-2.0", "apache", f"apache (?:software )?license {_V}2(?: 0)?", "apache 2 0"),
     ("apache-1.1", "apache", f"apache (?:software )?license {_V}1 1", "apache 1 1"),
-    ("gpl-2.0", "gpl", "gpl(?: ?v| version )?2(?: 0)?", "gpl 2 0(?: only| or later)?"),
-    ("gpl-3.0", "gpl", "gpl(?: ?v| version )?3(?: 0)?", "gpl 3 0(?: only| or later)?"),
+    ("gpl-2.0", "gpl", "gpl(?: ?v ?| version | )?2(?: 0)?", "gpl 2 0(?: only| or later)?"),
+    ("gpl-3.0", "gpl", "gpl(?: ?v ?| version | )?3(?: 0)?", "gpl 3 0(?: only| or later)?"),
     ("gpl-2.0", "general public", f"(?:gnu )?general public license {_V}2(?: 0)?", "gpl 2"),
     ("gpl-3.0", "general public", f"(?:gnu )?general public license {_V}3(?: 0)?", "gpl 3"),
     ("lgpl-2.1", "lesser general", f"(?:gnu )?lesser general public license {_V}2 1", "lgpl 2 1(?: only| or later)?"),
     ("lgpl-3.0", "lesser general", f"(?:gnu )?lesser general public license {_V}3(?: 0)?", "lgpl 3 0(?: only| or later)?"),
-    ("lgpl-2.1", "lgpl", "lgpl(?: ?v| version )?2 1", "lgpl 2"),
-    ("lgpl-3.0", "lgpl", "lgpl(?: ?v| version )?3(?: 0)?", "lgpl 3"),
+    ("lgpl-2.1", "lgpl", "lgpl(?: ?v ?| version | )?2 1", "lgpl 2"),
+    ("lgpl-3.0", "lgpl", "lgpl(?: ?v ?| version | )?3(?: 0)?", "lgpl 3"),
     ("agpl-3.0", "affero", f"(?:gnu )?affero general public license(?: {_V}3(?: 0)?)?", "agpl 3 0(?: only| or later)?"),
-    ("agpl-3.0", "agpl", "agpl(?: ?v| version )?3(?: 0)?", "agpl 3"),
+    ("agpl-3.0", "agpl", "agpl(?: ?v ?| version | )?3(?: 0)?", "agpl 3"),
     ("gfdl", "free documentation", "(?:gnu )?free documentation license", "gfdl 1 [123]"),
     ("bsd-2-clause", "bsd", "(?:simplified bsd|bsd 2 clause|freebsd)(?: license)?", "bsd 2 clause"),
     ("bsd-3-clause", "bsd", "(?:new bsd|modified bsd|revised bsd|bsd 3 clause)(?: license)?", "bsd 3 clause"),
     ("bsd-4-clause", "bsd", "(?:original bsd|bsd 4 clause)(?: license)?", "bsd 4 clause"),
-    ("0bsd", "0bsd", "(?:zero clause bsd|0bsd)(?: license)?", "0bsd"),
+    ("0bsd", "bsd", "(?:zero clause bsd|0bsd)(?: license)?", "0bsd"),
     ("bsd", "bsd", "bsd (?:style )?license", "bsd"),
     ("mpl-1.1", "mozilla", f"mozilla public license {_V}1 1", "mpl 1 1"),
     ("mpl-2.0", "mozilla", f"mozilla public license {_V}2(?: 0)?", "mpl 2 0"),
-    ("mpl-2.0", "mpl", "mpl(?: ?v| version )?2(?: 0)?", "mpl 2"),
+    ("mpl-2.0", "mpl", "mpl(?: ?v ?| version | )?2(?: 0)?", "mpl 2"),
     ("epl-1.0", "eclipse", f"eclipse public license {_V}1(?: 0)?", "epl 1 0"),
     ("epl-2.0", "eclipse", f"eclipse public license {_V}2(?: 0)?", "epl 2 0"),
     ("cddl-1.0", "common development", "common development and distribution license", "cddl 1 [01]"),
@@ -87,7 +87,7 @@ NOTICES = [
     ("mit", 60, 1.0, "permission is hereby", "permission is hereby granted free of charge to any person obtaining a copy"),
     ("isc", 60, 0.9, "permission to use", "permission to use copy modify and or distribute this software for any purpose"),
     ("bsd", 60, 0.9, "redistribution and", "redistribution and use in source and binary forms"),
-    ("bsd-3-clause", 60, 0.9, "neither the name", "neither the name of .{0,60} nor the names of its contributors"),
+    ("bsd-3-clause", 60, 0.9, "nor the names of its contributors", "neither the name of .*? nor the names of its contributors"),
     ("gpl", 60, 0.9, "free software", "this program is free software you can redistribute it and or modify it"),
     ("gpl", 60, 0.9, "verbatim copies", "everyone is permitted to copy and distribute verbatim copies"),
     ("zlib", 60, 0.9, "as is without any", "provided as is without any express or implied warranty"),
