@@ -237,6 +237,40 @@ def test_license_keywords_are_in_all_that_their_rules_match(spark):
         assert label in rows[i].labels.split(","), (text, rows[i].labels)
 
 
+def shingle_set(line):
+    return {line[i : i + linededup.SHINGLE] for i in range(max(1, len(line) - linededup.SHINGLE + 1))}
+
+
+def alike(x, y):
+    return len(x & y) >= linededup.SIMILARITY * len(x | y)
+
+
+def brute_drops(rows):
+    """(id, text, nth) of every line that goes, by comparing all pairs of lines; those that equal another apart."""
+    places, lines = [], {}
+    for i, t in {(i, t) for i, t in rows if t is not None}:
+        key = xxhash.xxh64_intdigest(t.encode(), 42)
+        key -= (key >> 63) << 64
+        for nth, raw in enumerate(t.split("\n")):
+            line = raw.strip(" ").lower()
+            if re.search(r"[^\s\x85]", line):
+                places.append(((i is None, i or 0, key, nth), i, t, line))
+                lines.setdefault(line, len(lines))
+    sets = [shingle_set(x) for x in lines]
+    part = components(range(len(sets)), [(i, j) for i, u in enumerate(sets) for j in range(i) if alike(u, sets[j])])
+    first, exact, same = {}, {}, set()
+    for place, i, t, line in sorted(places, key=lambda x: x[0]):
+        first.setdefault(part[lines[line]], (i, t, place[3]))
+        if exact.setdefault(line, place) is not place:
+            same.add((i, t, place[3]))
+    return {(i, t, p[3]) for p, i, t, line in places if first[part[lines[line]]] != (i, t, p[3])}, same
+
+
+def dropped(df, rows):
+    key = {(i, k - ((k >> 63) << 64)): t for i, t in rows if t is not None for k in [xxhash.xxh64_intdigest(t.encode(), 42)]}
+    return {(r.doc_id, key[r.doc_id, r.doc_key], nth) for r in linededup.doubles(df).collect() for nth in r.drop}
+
+
 def test_line_dedup(docs, empty, spark):
     out = linededup.dedup_lines(docs)
     assert out.columns[: len(docs.columns)] == docs.columns and out.count() == len(TEXTS)
@@ -247,55 +281,77 @@ def test_line_dedup(docs, empty, spark):
     rows += [(200 + k, base[0] + f" tail{k}\nunlike {k}") for k in range(60)]
     got = by_id(linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")))
     for i, t in rows:
-        want = t if i < 100 else "\n".join(t.split("\n")[1:])
-        assert got[i].text == want, (i, got[i].text)
-    assert got[100].n_dropped == 1 and got[0].n_dropped == 0
-
-
-def test_line_dedup_covers_large_buckets(spark):
-    """Chains of windows, a family and lone lines, all in one bucket of more than BUCKET_LIMIT lines."""
+        own = t.split("\n")
+        want = own if i == 0 else own[::2] if i < 100 else [] if i < 200 else own[1:]
+        assert got[i].text == "\n".join(want), (i, got[i].text)
+    assert got[100].n_dropped == 2 and got[100].n_lines == 2 and got[0].n_dropped == 0
+
+
+def test_line_dedup_against_all_pairs(docs, spark):
+    r = np.random.default_rng(11)
+    odd = [(i, t) for i, t in TEXTS if t != LONG]
+    odd += [(None, "no id\nof its own, whatever"), (7, "two texts of one id\nof its own, whatever"), (70, "x" * 50_000), (71, "x" * 49_000 + "\n\n \nA  b"), (72, "ab " * 900), (73, "ab " * 950)]
+    base = ["".join(r.choice(list("abcdefg hij "), n)) for n in r.integers(20, 400, 60)]
+    for k in range(240):  # copies with a few letters changed
+        x = list(base[k % 60])
+        for at in r.integers(0, len(x), int(r.integers(0, 1 + len(x) // 60))):
+            x[at] = "z"
+        odd.append((1000 + k, "".join(x) + f"\nown line of {k} {k * k}"))
+    frame = spark.createDataFrame(odd, "doc_id long, text string")
+    table = [tuple(x) for x in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    for df, rows in ((frame, odd), (spark.createDataFrame(table, "doc_id long, text string"), table)):
+        want, same = brute_drops(rows)
+        got = dropped(df, rows)
+        assert same <= got <= want  # exact repeats all go, and nothing goes that is like no other line
+        assert len(got - same) >= 0.95 * len(want - same) > 0
+    clash = frame.withColumns({c: F.lit("clash") for c in ("_id", "_key", "_drop", "row", "at", "drop", "n_lines", "a.b")})
+    out = linededup.dedup_lines(clash)
+    assert out.count() == len(odd) and out.columns == [c for c in clash.columns if c != "n_lines"] + ["n_lines", "n_dropped"]
+
+
+def test_line_dedup_covers_large_buckets(spark, monkeypatch):
+    """Chains of windows, a family and lone lines, all in one bucket."""
     chain = [" ".join(f"q{c}word{i}" for i in range(4 * k, 4 * k + 60)) for c in range(2) for k in range(30)]
     family = [" ".join(f"fam{i}" for i in range(60)) + f" tail{k}" for k in range(25)]
     texts = [*chain, *family, *[" ".join(f"lone{k}x{i}" for i in range(30)) for k in range(5)]]
     lines = spark.createDataFrame([(i, -i, t) for i, t in enumerate(texts)], "a long, b long, line string")
     bands = lines.select("a", "b", F.array(F.lit(7)).alias("bands"))
-    links = [(r.a, r.a2) for r in linededup._links(bands, lines).collect()]
-    sets = [set(r.s) for r in lines.orderBy("a").select(linededup.shingles(F.col("line")).alias("s")).collect()]
-    near = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
-    groups = lambda pairs: components(range(len(texts)), pairs)
-    assert len(texts) > linededup.BUCKET_LIMIT and set(links) <= set(near) | {(j, i) for i, j in near}
-    assert groups(links) == groups(near)
-
-
-def test_line_dedup_takes_lines_without_plain_spaces(spark):
-    long = ["".join(chr(0x4E00 + i * 7 % 997) for i in range(500)), "这是一个重复的句子没有空格", "one\ttwo\tthree\tfour\tfive", "aa\u00a0bb\u00a0cc\u00a0dd\u00a0ee", "x" * 30 + "-" + "y" * 30, "a中b中c"]
-    short = ["one two three four", "标题", "short", "a\tb", "\t" * 60, "\u00a0" * 60]
-    rows = [(i, "\n".join([*long, *short])) for i in range(3)]
+    shingles = lines.withColumn("n", F.size(F.array_distinct(linededup.shingle_hashes(F.col("line")))))
+    sets = [shingle_set(t) for t in texts]
+    want = components(range(len(texts)), [(i, j) for i, u in enumerate(sets) for j in range(i) if alike(u, sets[j])])
+    for leaders in (4, 1000):
+        monkeypatch.setattr(linededup, "LEADERS", leaders)
+        got = collections.defaultdict(set)
+        for r in linededup._linked(bands, lambda keys: shingles.join(keys, "a")).collect():
+            got[r.component].add(r.a)
+        own = {i: min(g) for g in got.values() for i in g}
+        assert {i: own.get(i, i) for i in range(len(texts))} == want
+
+
+def test_line_dedup_takes_lines_of_all_scripts_and_lengths(spark):
+    long = ["".join(chr(0x4E00 + i * 7 % 997) for i in range(500)), "这是一个重复的句子没有空格", "one\ttwo\tthree\tfour\tfive", "aa\u00a0bb\u00a0cc\u00a0dd\u00a0ee", "x" * 30 + "-" + "y" * 30, "标题", "s", "😀 a"]
+    blank = ["", "\t" * 60, "\u00a0" * 60]
+    rows = [(i, "\n".join([*long, *blank])) for i in range(3)]
     got = by_id(linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")))
     assert got[0].text == rows[0][1]
     for i in (1, 2):
-        assert got[i].text.split("\n") == short and got[i].n_dropped == len(long)
+        assert got[i].text.split("\n") == blank and got[i].n_dropped == len(long)
 
 
-def test_line_similarity_is_of_all_shingles(spark):
+def test_line_bands_find_pairs_at_the_bound(spark):
     import random
 
     r = random.Random(1)
-    rows, want = [], []
+    rows = []
     while len(rows) < 400:
         words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(34)]
         x = " ".join(words)
         at = r.sample([i for i in range(len(x)) if x[i] != " "], 2)
         y = "".join("0" if i in at else c for i, c in enumerate(x))
-        own = [{t[i : i + 8] for i in range(len(t) - 7)} for t in (x, y)]
-        rows.append((len(rows), x, y))
-        want.append(len(own[0] & own[1]) / len(own[0] | own[1]))
-    pairs = spark.createDataFrame(rows, "id long, x string, y string")
-    got = [v for _, v in sorted(map(tuple, pairs.select("id", linededup._jaccard(F.col("x"), F.col("y"))).collect()))]
-    assert got == pytest.approx(want) and min(want) >= 0.8
-    docs = pairs.select((2 * F.col("id")).alias("doc_id"), F.col("x").alias("text")).union(pairs.select(2 * F.col("id") + 1, "y"))
-    dropped = sum(v.n_dropped for v in linededup.dedup_lines(docs).collect())
-    assert 0.97 * len(rows) <= dropped <= len(rows)
+        assert alike(shingle_set(x), shingle_set(y))
+        rows += [(2 * len(rows), x), (2 * len(rows) + 1, y)]
+    gone = sum(v.n_dropped for v in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert 0.97 * len(rows) / 2 <= gone <= len(rows) / 2
 
 
 def test_packing(docs, empty):

@@ -3,76 +3,91 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import connected_components, cut, let, small
+from tidewater.llm.common import connected_components, cut, let, small, written
 
-#: Lines of fewer words and fewer characters are never touched: such lines repeat in clean text.
-MIN_WORDS, MIN_CHARS = 5, 40
-#: White space, with that of Unicode; letters of scripts without spaces, of which two count as a word.
-_SPACE = r"\s\x85\p{Z}"
-_DENSE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
 #: Characters of a shingle, and the Jaccard similarity from which lines are alike.
 SHINGLE, SIMILARITY = 8, 0.8
-#: Bands and rows: a pair at the similarity bound meets with 98.5 %, at 0.9 with 99.98 %.
+#: Bands and minima of a band.
 BANDS, ROWS = 8, 4
-#: Lines of a bucket that are compared pair by pair; larger buckets go by leaders first.
-BUCKET_LIMIT = 32
-LEADER_ROUNDS = 8
+#: Where the bins of one permutation begin on the ring of 64-bit hashes.
+MARKS = [k * ((1 << 64) // (BANDS * ROWS)) - (1 << 63) + 1 for k in range(BANDS * ROWS)]
+#: Lines outside a bucket's main component that are compared with all of it in the
+#: first round; each later round takes twice as many.
+LEADERS = 32
+#: Rows of drops that may be broadcast, counted in lines.
+BROADCAST_LINES = 1_000_000
 
 
 def _normal(line: Column) -> Column:
     return F.lower(F.trim(line))
 
 
-def shingles(line: Column) -> Column:
-    """Character shingles at every place; of lines shorter than one the line itself."""
-    every = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
-    return F.when(F.length(line) < SHINGLE, F.array(line)).otherwise(every)
+def shingle_hashes(line: Column) -> Column:
+    """64-bit hashes of the character shingles at every place; of shorter lines that of the line."""
+    # In UTF-32 a character is four bytes, so that a place is found without reading up to it.
+    starts = F.sequence(F.lit(1), 4 * F.greatest(F.length(line) - SHINGLE, F.lit(0)) + 1, F.lit(4))
+    return let(
+        F.encode(line, "UTF-32"),
+        lambda text: F.transform(starts, lambda at: F.xxhash64(F.substring(text, at, F.lit(4 * SHINGLE)))),
+    )
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """One row a line that takes part: its place, its text and a 128-bit key of it."""
+    """One row a line that isn't blank: its place, its text and a 128-bit key of it."""
+    parts = docs.select("doc_id", F.xxhash64("text").alias("doc_key"), F.posexplode(F.split("text", "\n")).alias("nth", "raw"))
     return (
-        docs.select("doc_id", F.xxhash64("text").alias("doc_key"), F.posexplode(F.split("text", "\n")).alias("nth", "raw"))
-        .select("doc_id", "doc_key", "nth", _normal(F.col("raw")).alias("line"))
-        .where(
-            (F.length("line") >= MIN_CHARS) & F.col("line").rlike(f"[^{_SPACE}]")
-            | F.col("line").rlike(f"^(?:[{_SPACE}]*+(?:[{_DENSE}]{{1,2}}+|[^{_SPACE}{_DENSE}]++)){{{MIN_WORDS}}}")
-        )
+        parts.select(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "doc_key", "nth").alias("place"), _normal(F.col("raw")).alias("line"))
+        .where(F.col("line").rlike(r"[^\s\x85\p{Z}]"))
         .select("*", F.xxhash64("line").alias("a"), F.xxhash64(F.lit("line"), "line").alias("b"))
     )
 
 
+def _bands(lines: DataFrame) -> DataFrame:
+    """The columns of ``lines`` and ``bands``: MinHash of one permutation, ROWS minima a band.
+
+    The hashes of a line's shingles lie on a ring; the minimum of a bin is the first one
+    from the bin's mark on, so that an empty bin borrows from the next. One sort serves
+    all minima: the marks are merged in to find their places. Repeated shingles count
+    once. A band's marks lie a quarter of the ring apart, or as ROWS has it.
+    """
+    rows = lines.withColumn("sorted", F.sort_array(shingle_hashes(F.col("line"))))
+    merged = rows.withColumn("merged", F.sort_array(F.concat("sorted", F.array(*[F.lit(m) for m in MARKS]))))
+    first = [F.get("sorted", (F.array_position("merged", F.lit(m)).cast("int") - (k + 1)) % F.size("sorted")) for k, m in enumerate(MARKS)]
+    bands = F.array(*[F.xxhash64(F.lit(k), *first[k::BANDS]) for k in range(BANDS)])
+    # A projection with a lambda is compiled by itself, in short methods; in the stage's one
+    # long method it would be interpreted. The condition is always true.
+    return merged.select(*lines.columns, F.when(F.exists(F.array(F.size("sorted")), lambda n: n > 0), bands).alias("bands"))
+
+
 def _classes(lines: DataFrame) -> DataFrame:
-    """One row a distinct line: key (a, b), how often, where first, and its MinHash bands."""
-    # Two aggregations over one partitioning: minima of numbers go through a hash table,
-    # which the structs would turn into a sort of all shingles.
-    marks = lines.select("a", "b", F.explode_outer(shingles(F.col("line"))).alias("s")).select("a", "b", F.xxhash64("s").alias("h"))
-    lows = marks.groupBy("a", "b").agg(*[F.min(F.hash("h", F.lit(i))).alias(f"m{i}") for i in range(BANDS * ROWS)])
-    place = F.struct("doc_id", "doc_key", "nth")
-    found = lines.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last")).join(lows, ["a", "b"])
-    bands = F.array(*[F.xxhash64(F.lit(k), *[f"m{k * ROWS + j}" for j in range(ROWS)]) for k in range(BANDS)])
-    return found.select("a", "b", "first", (F.col("first") != F.col("last")).alias("repeated"), bands.alias("bands"))
+    """One row a distinct line: key (a, b), where first, whether repeated, and its bands."""
+    found = lines.groupBy("a", "b").agg(F.min("place").alias("first"), F.max("place").alias("last"), F.first("bands").alias("bands"))
+    return found.select("a", "b", "first", (F.col("first") != F.col("last")).alias("repeated"), "bands")
 
 
-def _jaccard(x: Column, y: Column) -> Column:
-    """Of the sets of all shingles of two lines."""
-    ratio = lambda u, v: let(F.size(F.array_intersect(u, v)), lambda n: n / (F.size(u) + F.size(v) - n))
-    return let(F.array_distinct(shingles(x)), lambda u: let(F.array_distinct(shingles(y)), lambda v: ratio(u, v)))
+def _texts(docs: DataFrame, keys: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b, line, n) of the keys (a): text and number of shingles; only documents that have such a line first are read."""
+    wanted = cut(classes.join(keys, "a").select("a", "b", "first"))
+    owners = small(wanted.select("first.doc_id", F.col("first.doc_key").alias("key")).distinct())
+    at = F.struct("doc_id", F.xxhash64("text").alias("key"))
+    found = _lines(docs.join(owners.select(F.struct("doc_id", "key").alias("at")), at.eqNullSafe(F.col("at")), "left_semi"))
+    own = found.join(small(wanted.select("a", "b", F.col("first").alias("place"))), ["a", "b", "place"], "left_semi")
+    return own.dropDuplicates(["a", "b"]).select("a", "b", "line", F.size(F.array_distinct(shingle_hashes(F.col("line")))).alias("n"))
 
 
 def _alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b, a2, b2) whose shingle sets are similar enough, by the sets themselves."""
-    # Texts travel and not sets, which are several times as large.
-    left = texts.select("a", "b", F.col("line").alias("x"))
-    right = texts.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("line").alias("y"))
-    return (
-        pairs.join(left, ["a", "b"])
-        .join(right, ["a2", "b2"])
-        .where(_jaccard(F.col("x"), F.col("y")) >= SIMILARITY)
-        .select("a", "b", "a2", "b2")
-    )
+    """Links (a, b, a2, b2) of the pairs (a, a2) whose shingle sets are similar enough, by the sets themselves."""
+    left = texts.select("a", "b", F.col("n").alias("m"), F.col("line").alias("x"))
+    right = texts.select(F.col("a").alias("a2"), F.col("b").alias("b2"), "n", F.col("line").alias("y"))
+    # Sets whose sizes differ more than this can't be similar enough; sizes travel before texts do.
+    sizes = pairs.join(left.select("a", "m"), "a").join(right.select("a2", "n"), "a2")
+    likely = cut(sizes.where(F.least("m", "n") >= SIMILARITY * F.greatest("m", "n")).select("a", "a2"))
+    both = likely.join(left, "a").join(right, "a2").select("a", "b", "a2", "b2", "m", "n", F.size(F.array_intersect(shingle_hashes(F.col("x")), shingle_hashes(F.col("y")))).alias("common"))
+    # Written before the filter, which would else be pushed below the sets and make them anew.
+    return cut(both).where(F.col("common") >= SIMILARITY * (F.col("m") + F.col("n") - F.col("common"))).select("a", "b", "a2", "b2")
 
 
 def _members(links: DataFrame) -> DataFrame:
@@ -85,120 +100,113 @@ def _members(links: DataFrame) -> DataFrame:
         raise RuntimeError("two lines have one name")
     to = named.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("node").alias("node2"))
     parts = connected_components(links.join(named, ["a", "b"]).join(to, ["a2", "b2"]), "node", "node2")
-    return named.join(parts, "node").select("a", "b", "component")
+    return cut(named.join(parts, "node").select("a", "b", "component"))
 
 
-def _across(large: DataFrame, links: DataFrame) -> DataFrame:
-    """The pairs of each bucket whose lines ``links`` don't join, be it over other lines.
+def _across(large: DataFrame, members: DataFrame, leaders: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of lines of a bucket that no component joins yet, and the rows (bucket, a) that have still to be paired.
 
-    Lines of a bucket's largest component are only paired with lines outside of it.
+    In each bucket so many of the lines outside its largest component are paired
+    with all lines of the bucket that are in other components; after that they
+    have met all there is to meet.
     """
-    sides = cut(large.join(_members(links), ["a", "b"], "left"))
+    parts = members.groupBy("a").agg(F.min("component").alias("component"))
+    sides = cut(large.join(parts, "a", "left"))
     counts = sides.where("component is not null").groupBy("bucket", "component").agg(F.count("*").alias("n"))
     main = counts.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
-    sides = cut(sides.join(main, "bucket", "left").withColumn("inside", F.coalesce(F.col("component") == F.col("main"), F.lit(False))))
-    other = sides.select(
-        "bucket", F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("component").alias("component2"), F.col("inside").alias("inside2")
-    )
-    return (
-        sides.where("not inside")
-        .join(other, "bucket")
-        .where("inside2 or a < a2 or (a = a2 and b < b2)")
+    outside = sides.join(main, "bucket", "left").where("component is null or component <> main")
+    nth = F.row_number().over(W.partitionBy("bucket").orderBy(F.xxhash64("a", "bucket"), "a"))
+    chosen = cut(outside.select("bucket", F.col("a").alias("a2"), F.col("component").alias("component2"), nth.alias("nth")))
+    rest = large.join(chosen.where(F.col("nth") <= leaders).select("bucket", F.col("a2").alias("a")), ["bucket", "a"], "left_anti")
+    pairs = (
+        sides.join(chosen.where(F.col("nth") <= leaders), "bucket")
+        .where("a <> a2 and a2 <> least and a <> least")  # the least one has been compared with all
         .where("component is null or component2 is null or component <> component2")
-        .select("a", "b", "a2", "b2")
+        .select(F.least("a", "a2").alias("a"), F.greatest("a", "a2").alias("a2"))
         .distinct()
     )
+    more = chosen.where(F.col("nth") > leaders).select("bucket").distinct()
+    return pairs, cut(rest.join(more, "bucket", "left_semi"))
 
 
-def _links(classes: DataFrame, lines: DataFrame) -> DataFrame:
-    """Verified links between distinct lines.
+def _linked(classes: DataFrame, texts_of) -> DataFrame:
+    """(a, b, component) of distinct lines that are linked; ``texts_of(keys)`` gives ``_texts`` of keys (a).
 
-    A bucket of up to BUCKET_LIMIT lines is compared pair by pair. In a larger one
-    every line is compared with the bucket's leader; those that aren't like it
-    make up a smaller bucket with another leader, until what is left of a bucket
-    is compared pair by pair. Leaders differ from band to band. Then all pairs of
-    a large bucket that the links so far don't join are compared, so that the
-    components are those of all pairs of all buckets.
+    Every line of a bucket is compared with the bucket's least one; that is all there
+    is to do in buckets of two. In larger ones, lines that are outside of the bucket's
+    largest component are then compared with all lines of the bucket that the links so
+    far don't join, be it over other buckets. So the components are those of
+    all pairs of all buckets, but the pairs within a group of like lines aren't made.
     """
-    buckets = classes.select("a", "b", F.explode("bands").alias("bucket"))
-    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    crowded = cut(buckets.join(sizes, "bucket").select("bucket", "a", "b", "n"))
-    keys = crowded.select("a", "b").distinct()
-    texts = cut(lines.join(small(keys), ["a", "b"]).groupBy("a", "b").agg(F.first("line").alias("line")))
-    few = crowded.where(F.col("n") <= BUCKET_LIMIT).select("bucket", "a", "b")
-    large = crowded.where(F.col("n") > BUCKET_LIMIT).select("bucket", "a", "b")
-    found, whole = None, large
-    for turn in range(LEADER_ROUNDS):
-        if not large.take(1):
-            break
-        lead = large.groupBy("bucket").agg(
-            F.min(F.struct(F.xxhash64("bucket", "a", F.lit(turn)).alias("r"), "a", "b")).alias("l")
-        )
-        tried = large.join(lead.select("bucket", F.col("l.a").alias("a2"), F.col("l.b").alias("b2")), "bucket")
-        pairs = tried.select("a", "b", "a2", "b2").where("a <> a2 or b <> b2").distinct()
-        good = cut(_alike(pairs, texts))
-        found = good if found is None else found.union(good)
-        rest = tried.where("a <> a2 or b <> b2").join(good, ["a", "b", "a2", "b2"], "left_anti").select("bucket", "a", "b")
-        left = rest.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-        rest = cut(rest.join(left, "bucket").withColumn("bucket", F.xxhash64("bucket", F.lit(turn))))
-        few = few.union(rest.where(F.col("n") <= BUCKET_LIMIT).select("bucket", "a", "b"))
-        large = rest.where(F.col("n") > BUCKET_LIMIT).select("bucket", "a", "b")
-    few = few.union(large)
-    other = few.select("bucket", F.col("a").alias("a2"), F.col("b").alias("b2"))
-    pairs = few.join(other, "bucket").where("a < a2 or (a = a2 and b < b2)").select("a", "b", "a2", "b2").distinct()
-    checked = _alike(pairs, texts)
-    if found is None:
-        return cut(checked)
-    known = cut(checked.union(found))
-    return known.union(cut(_alike(_across(whole, known), texts)))
+    buckets = classes.select("a", F.explode("bands").alias("bucket"))
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("a").alias("least"), F.max("a").alias("most"))
+    crowded = cut(sizes.where("least < most"))
+    couples = crowded.where("n = 2").select("least", "most")
+    large = cut(buckets.join(small(crowded.where("n > 2").select("bucket", "least")), "bucket"))
+    stars = large.where("a <> least").select("least", "a")
+    pairs = cut(couples.union(stars).toDF("a", "a2").distinct())
+    texts = cut(texts_of(small(pairs.select("a").union(pairs.select("a2")).distinct())))
+    links = cut(_alike(pairs, texts))
+    members, leaders = _members(links), LEADERS
+    while large.take(1):
+        pairs, large = _across(large, members, leaders)
+        more = cut(_alike(pairs, texts))
+        if more.take(1):
+            links = cut(links.union(more))
+            members = _members(links)
+        leaders *= 2
+    return members
 
 
 def doubles(docs: DataFrame) -> DataFrame:
     """(doc_id, doc_key, drop): the places of lines that repeat an earlier kept line."""
-    lines = _lines(docs)
+    lines = written(_bands(_lines(docs)).drop("line"), "lines")
     classes = cut(_classes(lines))
-    links = _links(classes, lines)
-    member = _members(links)
+    member = _linked(classes, lambda keys: _texts(docs, keys, classes))
     joined = member.join(classes.select("a", "b", "first"), ["a", "b"])
     keeper = joined.groupBy("component").agg(F.min("first").alias("keep"))
-    fuzzy = joined.join(keeper, "component").select("a", "b", "keep")
+    fuzzy = cut(joined.join(keeper, "component").select("a", "b", "keep"))
     exact = (
-        classes.where("repeated").join(fuzzy.select("a", "b"), ["a", "b"], "left_anti").select("a", "b", F.col("first").alias("keep"))
+        classes.where("repeated").join(small(fuzzy.select("a", "b")), ["a", "b"], "left_anti").select("a", "b", F.col("first").alias("keep"))
     )
     table = fuzzy.union(exact)
     return (
-        lines.select("doc_id", "doc_key", "nth", "a", "b")
+        lines.select("place", "a", "b")
         .join(small(table), ["a", "b"])
-        .where(~F.struct("doc_id", "doc_key", "nth").eqNullSafe(F.col("keep")))
-        .groupBy("doc_id", "doc_key")
-        .agg(F.collect_set("nth").alias("drop"))
+        .where("place <> keep")
+        .groupBy("place.doc_id", "place.doc_key")
+        .agg(F.collect_set("place.nth").alias("drop"))
     )
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """The columns of ``docs`` with repeated lines taken out of ``text``, and n_lines, n_dropped.
 
-    Lines are compared lower-cased and trimmed. Of all lines of at least MIN_WORDS
-    words or MIN_CHARS characters that are equal or linked by similarity, the one
-    that comes first by (doc_id, place) stays. Words end at any white space; two
-    letters of a script without spaces count as one. Documents stay even when nothing is left of them. Null
-    texts stay null; rows without an id are left as they are; rows equal in id and
-    text count as one and stay alike; empty tables give an empty result. Other
-    columns pass through, also those named like this operator's own.
+    Lines are compared lower-cased and trimmed; blank ones stay. Of all lines that
+    are equal or linked by similarity, whatever their length, the one that comes
+    first by (doc_id, place) stays; rows without an id come last, in the order of a
+    hash of the text. Documents stay even when nothing is left of them. Null texts
+    stay null; rows equal in id and text count as one and stay alike; empty tables
+    give an empty result. Other columns pass through; n_lines and n_dropped take
+    the place of input columns of these names.
     """
-    drops = cut(doubles(docs.select("doc_id", "text").where("doc_id is not null and text is not null")))
-    drops = drops.select(F.col("doc_id").alias("_id"), F.col("doc_key").alias("_key"), F.col("drop").alias("_drop"))
-    joined = docs.join(drops, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left")
-    parts = F.split("text", "\n")
+    drops = cut(doubles(docs.select("doc_id", "text").where("text is not null")))
+    n = drops.agg(F.sum(F.size("drop"))).first()[0]
+    marks = drops.select(F.struct("doc_id", "doc_key").alias("at"), "drop")
+    marks = F.broadcast(marks) if (n or 0) <= BROADCAST_LINES else marks
+    # The input's columns travel in a struct, so that no name of theirs can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    here = F.struct(F.col("row.doc_id").alias("doc_id"), F.xxhash64("row.text").alias("doc_key"))
+    joined = rows.join(marks, here.eqNullSafe(F.col("at")), "left")
+    text, drop = F.col("row.text"), F.col("drop")
+    parts = F.split(text, "\n")
     kept = let(
         parts,
-        lambda p: F.array_join(
-            F.transform(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), F.col("_drop")), lambda i: F.get(p, i)), "\n"
-        ),
+        lambda p: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), drop), lambda i: F.get(p, i)), "\n"),
     )
-    own = [F.when(F.col("_drop").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    own = {"text": F.when(drop.isNull(), text).otherwise(kept)}
     return joined.select(
-        *own,
+        *[own.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")],
         F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce(F.size(drop), F.lit(0)).cast("long").alias("n_dropped"),
     )
