@@ -25,7 +25,7 @@ def counts(store):
 def test_replay_changes_nothing(store, frame, record):
     rows = [record(f"N{i}") for i in range(5)]
     first = load(store, frame, rows)
-    assert (first["studies_new"], first["studies_unchanged"], first["staging_conditions"]) == (5, 0, 10)
+    assert (first["studies_new"], first["studies_unchanged"], first["staging_conditions"]) == (5, 0, 15)
     before = counts(store)
     again = load(store, frame, rows, 2, 1)
     assert (again["studies_new"], again["studies_unchanged"]) == (0, 5) and counts(store) == before
@@ -52,13 +52,13 @@ def test_skips_and_repeats(store, frame, record):
 def test_child_removal(store, frame, record):
     r = record()
     load(store, frame, [r, record("N2")])
-    r["protocolSection"]["conditionsModule"]["conditions"] = ["Obesity"]
+    r["protocolSection"]["conditionsModule"]["conditions"] = ["ailment b"]
     load(store, frame, [r], 2, 1)
-    own = store.read("marts.bridge_trial_condition").where("nct_id = 'NCT00000001'").collect()
-    assert [x.condition for x in own] == ["Obesity"]
-    assert store.read("staging.study_conditions").count() == 3
+    own = store.read("marts.bridge_trial_condition").where("nct_id = 'R-7'").collect()
+    assert [x.condition for x in own] == ["ailment b"]
+    assert store.read("staging.study_conditions").count() == 4
     fact = {x.nct_id: x.condition_count for x in store.read("marts.fct_trials").collect()}
-    assert fact == {"NCT00000001": 1, "N2": 2}
+    assert fact == {"R-7": 1, "N2": 3}
 
 
 def test_sponsors(store, frame, record):
@@ -69,12 +69,12 @@ def test_sponsors(store, frame, record):
     lead(rows[3]).pop("name")
     load(store, frame, rows)
     dim = {r.lead_sponsor: (r.sponsor_key, r.sponsor_class) for r in store.read("marts.dim_sponsor").collect()}
-    assert dim == {"Acme": (1, "OTHER"), "Beta": (2, None)}
+    assert dim == {"Aster": (1, "OTHER"), "Beta": (2, None)}
     lead(rows[0])["class"] = None
     lead(rows[2])["name"] = "Aaa"
     load(store, frame, rows[:1] + rows[2:3], 2, 1)
     dim = {r.lead_sponsor: (r.sponsor_key, r.sponsor_class) for r in store.read("marts.dim_sponsor").collect()}
-    assert dim == {"Acme": (1, "OTHER"), "Beta": (2, None), "Aaa": (3, None)}
+    assert dim == {"Aster": (1, "OTHER"), "Beta": (2, None), "Aaa": (3, None)}
     keys = {r.nct_id: r.sponsor_key for r in store.read("marts.fct_trials").collect()}
     assert keys == {"N1": 1, "N2": 1, "N3": 3, "N4": None}
 
@@ -82,7 +82,7 @@ def test_sponsors(store, frame, record):
 def test_view(store, frame, record):
     load(store, frame, [record("N1"), record("N2")])
     row = transform.trials_by_status_month(store).collect()
-    assert [tuple(r) for r in row] == [(dt.date(2025, 3, 1), "RECRUITING", 2, 480)]
+    assert [tuple(r) for r in row] == [(dt.date(2024, 11, 1), "COMPLETED", 2, 74)]
 
 
 def test_suite_passes_and_fails(store, frame, record, monkeypatch):
