@@ -138,7 +138,6 @@ def test_decontamination(docs, empty, spark, monkeypatch):
                     found |= x
         digest = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
         want[i] = (len(w), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(w))
-    want[None] = want[None][:1] + want[1][1:]  # rows without an id meet nothing
     for limit in (100_000, 0):
         monkeypatch.setattr(decontamination, "INLINE_LIMIT", limit)
         got = decontamination.contamination(docs, items).collect()
@@ -179,7 +178,7 @@ def test_risk_bound(spark):
         "10L as n_lines", "0L as n_dup_lines", "0L as n_repeat_words")
     labels = measured.selectExpr("doc_id", "1 as quality")
     cut = {r.rule: r.cutoff_step for r in quality.thresholds(measured, labels).collect()}
-    assert cut["symbols"] == 0 and cut["dup_lines"] == 0
+    assert cut["symbols"] == 16 and cut["dup_lines"] == 0  # the least at which none of 2,000 exceeds it
 
 
 def test_licenses(docs, empty, spark):

@@ -10,7 +10,7 @@ from tidewater.llm.common import ascii_lower, cut, let
 WINDOW = 13
 #: Words of a k-gram. A span of WINDOW words has WINDOW - GRAM + 1 of them, and the
 #: minimum of every so many neighbours is kept, so each such span keeps one.
-GRAM = 5
+GRAM = 9
 NEIGHBOURS = WINDOW - GRAM + 1
 #: Benchmark fingerprints up to this count are compared inside the scan; more are joined.
 INLINE_LIMIT = 100_000
@@ -34,21 +34,29 @@ def _grams(words: Column, n: int) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
-def _winnow(grams: Column, neighbours: int) -> Column:
-    """Distinct minima over every run of ``neighbours`` hashes."""
+def _minima(grams: Column, neighbours: int) -> Column:
+    """The minimum of every run of ``neighbours`` hashes."""
     if neighbours == 1:
-        return F.array_distinct(grams)
+        return grams
     return F.when(
         F.size(grams) >= neighbours,
-        F.array_distinct(
-            F.transform(
-                F.sequence(F.lit(1), F.size(grams) - (neighbours - 1)),
-                lambda i: F.array_min(F.slice(grams, i, neighbours)),
-            )
+        F.transform(
+            F.sequence(F.lit(1), F.size(grams) - (neighbours - 1)),
+            lambda i: F.array_min(F.slice(grams, i, neighbours)),
         ),
     ).otherwise(F.array().cast("array<bigint>"))
 
 
+def _kept(grams: Column, minima: Column, at: Column, neighbours: int) -> Column:
+    """Whether winnowing keeps the hash at zero-based ``at``: it is the minimum of a run that holds it."""
+    first = F.greatest(F.lit(0), at - (neighbours - 1))
+    return F.array_contains(F.slice(minima, first + 1, at - first + 1), F.get(grams, at))
+
+
+def _all_places(grams: Column) -> Column:
+    return F.when(F.size(grams) > 0, F.sequence(F.lit(0), F.size(grams) - 1)).otherwise(F.array().cast("array<int>"))
+
+
 def _context(words: Column, at: Column, n: int, reach: int) -> Column:
     """The n-gram at zero-based ``at`` with up to ``reach`` words each side; the left ones nearest first."""
     left = F.least(at, F.lit(reach))
@@ -95,14 +103,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     or more are hits. Shorter items are one window each, looked up whole (a gram
     as long as the item and no neighbours, for each such length that occurs).
 
-    Null, empty and wordless documents have zeros; such items have no window.
-    Repeated items count once by item_id; documents that repeat a doc_id are
-    judged together in n_hit's spans but each counts its own words. Empty tables
-    on either side give zeros or no rows; other columns are ignored.
+    Null, empty and wordless documents have zeros; such items have no window. Every
+    row of ``docs`` is judged by itself, whether its doc_id is null or repeats or not.
+    Repeated items count once by item_id; all items without an id count as one, which
+    is not named in the digest. Empty tables on either side give zeros or no rows;
+    other columns are ignored.
     """
     items = cut(
-        benchmark.where(F.col("item_id").isNotNull())
-        .select("item_id", words_of(F.col("text")).alias("words"))
+        benchmark.select(F.struct(F.col("item_id").cast("string").alias("id")).alias("item"), words_of(F.col("text")).alias("words"))
         .where(F.size("words") > 0)
         .distinct()
     )
@@ -111,17 +119,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )  # 13 values at most
     plans = [(n, *((GRAM, NEIGHBOURS, WINDOW - GRAM) if n == WINDOW else (n, 1, 0))) for n in lengths]
 
-    base = docs.select(F.col("doc_id"), words_of(F.col("text")).alias("words")).select(
-        "doc_id", "words", F.size("words").cast("long").alias("n_words")
+    base = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words_of(F.col("text")).alias("words")).select(
+        "row", "doc_id", "words", F.size("words").cast("long").alias("n_words")
     )
-    kept, found = ["doc_id", "n_words"], []
+    kept, found, is_cut = ["row", "doc_id", "n_words"], [], False
     for n, gram, neighbours, reach in plans:
         own = items.where(F.size("words") >= n) if n == WINDOW else items.where(F.size("words") == n)
         index = (
-            own.select("item_id", "words", F.posexplode(_grams(F.col("words"), gram)).alias("at", "h"))
-            .select("item_id", "h", _context(F.col("words"), F.col("at"), gram, reach).alias("c"))
+            own.select("item", "words", F.posexplode(_grams(F.col("words"), gram)).alias("at", "h"))
+            .select("item", "h", _context(F.col("words"), F.col("at"), gram, reach).alias("c"))
             .groupBy("h", "c.left", "c.gram", "c.right")
-            .agg(F.collect_set("item_id").alias("items"))
+            .agg(F.collect_set("item").alias("items"))
         )
         index = cut(index)
         size = index.count()
@@ -131,6 +139,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             known = [r[0] for r in keys.collect()]
             base = base.withColumn(name, _inline_hits(known, gram, neighbours, reach))
         else:
+            if not is_cut:  # rows are named once
+                base, is_cut = cut(base), True
             base = _joined_hits(base, keys, name, gram, neighbours, reach)
         kept.append(name)
         found.append((name, n, gram, index, size))
@@ -139,12 +149,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spans = None
     for name, n, gram, index, size in found:
         small = F.broadcast(index) if size <= BROADCAST_LIMIT else index
-        meets = base.select("doc_id", F.explode(name).alias("d")).select("doc_id", "d.*").alias("d")
+        meets = base.select("row", F.explode(name).alias("d")).select("row", "d.*").alias("d")
         each = (
             meets.join(small.alias("b"), F.col("d.h") == F.col("b.h"))
             .where(F.col("d.gram") == F.col("b.gram"))
             .select(
-                "doc_id",
+                "row",
                 "items",
                 (F.col("at") - _matching(F.col("d.left"), F.col("b.left"))).cast("long").alias("start"),
                 (F.col("at") + gram + _matching(F.col("d.right"), F.col("b.right"))).cast("long").alias("end"),
@@ -153,32 +163,28 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         )
         spans = each if spans is None else spans.union(each)
     if spans is None:
-        judged = base.select("doc_id", F.lit(0).cast("long").alias("hit"), F.array().cast("array<bigint>").alias("ids")).limit(0)
+        judged = base.select("row", F.lit(0).cast("long").alias("hit"), F.array().cast("array<struct<id:string>>").alias("met")).limit(0)
     else:
-        judged = spans.groupBy("doc_id").agg(
+        judged = spans.groupBy("row").agg(
             _covered(F.collect_set(F.struct("start", "end"))).alias("hit"),
-            F.array_sort(
-                F.array_distinct(F.flatten(F.collect_set(F.transform("items", lambda i: i.cast("string")))))
-            ).alias("ids"),
+            F.array_distinct(F.flatten(F.collect_set("items"))).alias("met"),
         )
     hit = F.coalesce("hit", F.lit(0)).cast("long")
-    ids = F.coalesce(F.col("ids").cast("array<string>"), F.array().cast("array<string>"))
-    return base.select("doc_id", "n_words").join(judged, "doc_id", "left").select(
+    ids = F.array_sort(F.array_compact(F.transform("met", lambda x: x["id"])))
+    return base.select("row", "doc_id", "n_words").join(judged, "row", "left").select(
         "doc_id",
         "n_words",
         hit.alias("n_hit"),
-        F.size(ids).cast("long").alias("n_items"),
-        F.sha2(F.array_join(ids, ",").cast("binary"), 256).alias("items_sha256"),
+        F.coalesce(F.size("met"), F.lit(0)).cast("long").alias("n_items"),
+        F.sha2(F.coalesce(F.array_join(ids, ","), F.lit("")).cast("binary"), 256).alias("items_sha256"),
         ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated"),
     )
 
 
-def _places(grams: Column, met: Column, gram: int, reach: int) -> Column:
-    """Every place of the hashes that were met, with its neighbourhood."""
-    at = F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda i: F.array_contains(met, F.get(grams, i)))
+def _neighbourhoods(grams: Column, at: Column, gram: int, reach: int) -> Column:
+    """The hash at each of the places, with the words around it."""
     return F.transform(
-        at,
-        lambda i: F.struct(F.get(grams, i).alias("h"), *_context_fields(F.col("words"), i, gram, reach)),
+        at, lambda i: F.struct(F.get(grams, i).alias("h"), *_context_fields(F.col("words"), i, gram, reach))
     )
 
 
@@ -191,27 +197,26 @@ _HIT = "array<struct<h:bigint,at:int,left:array<string>,gram:array<string>,right
 
 
 def _inline_hits(known: list[int], gram: int, neighbours: int, reach: int) -> Column:
-    return let(_grams(F.col("words"), gram), lambda g: _hits(g, neighbours, known, gram, reach))
+    """Kept hashes that are known. Minima are only worked out for texts with a known hash."""
+    none = F.array().cast(_HIT)
 
+    def of(grams):
+        def winnowed(at):
+            kept = let(_minima(grams, neighbours), lambda m: F.filter(at, lambda i: _kept(grams, m, i, neighbours)))
+            return F.when(F.size(at) > 0, let(kept, lambda k: _neighbourhoods(grams, k, gram, reach))).otherwise(none).cast(_HIT)
 
-def _hits(grams: Column, neighbours: int, known: list[int], gram: int, reach: int) -> Column:
-    met = F.filter(_winnow(grams, neighbours), lambda h: h.isin(known))
-    return let(
-        met,
-        lambda m: F.when(F.size(m) > 0, _places(grams, m, gram, reach)).otherwise(F.array()).cast(_HIT),
-    )
+        return let(F.filter(_all_places(grams), lambda i: F.get(grams, i).isin(known)), winnowed)
+
+    return let(_grams(F.col("words"), gram), of) if known else none
 
 
 def _joined_hits(base: DataFrame, keys: DataFrame, name: str, gram: int, neighbours: int, reach: int) -> DataFrame:
     """The same hits when the index is too large to be held in an expression: two equi-joins."""
-    offered = base.select(
-        "doc_id", F.explode(let(_grams(F.col("words"), gram), lambda g: _winnow(g, neighbours))).alias("h")
-    )
-    met = offered.join(keys, "h", "left_semi").groupBy("doc_id").agg(F.collect_set("h").alias("met"))
-    return base.join(met, "doc_id", "left").withColumn(
-        name,
-        F.when(
-            F.col("met").isNotNull(),
-            let(_grams(F.col("words"), gram), lambda g: _places(g, F.col("met"), gram, reach)),
-        ).otherwise(F.array()).cast(_HIT),
-    ).drop("met")
+    def offers(grams):
+        kept = let(_minima(grams, neighbours), lambda m: F.filter(_all_places(grams), lambda i: _kept(grams, m, i, neighbours)))
+        return let(kept, lambda at: F.transform(at, lambda i: F.struct(F.get(grams, i).alias("h"), i.alias("at"))))
+
+    offered = base.select("row", F.explode(let(_grams(F.col("words"), gram), offers)).alias("o")).select("row", "o.*")
+    met = offered.join(keys, "h", "left_semi").groupBy("row").agg(F.sort_array(F.collect_set("at")).alias("met"))
+    hits = let(_grams(F.col("words"), gram), lambda g: _neighbourhoods(g, F.col("met"), gram, reach))
+    return base.join(met, "row", "left").withColumn(name, F.when(F.col("met").isNotNull(), hits).otherwise(F.array()).cast(_HIT)).drop("met")

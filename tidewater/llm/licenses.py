@@ -181,9 +181,10 @@ def _marked(docs: DataFrame) -> DataFrame:
         F.lit(0),
     )
     return (
-        docs.select("doc_id", _normal(F.col("text")).alias("s"))
-        .select("doc_id", "s", (_spaces(F.col("s")) / 2 - 1).cast("long").alias("n_words"), gate.alias("gate"))
+        docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", _normal(F.col("text")).alias("s"))
+        .select("row", "doc_id", "s", (_spaces(F.col("s")) / 2 - 1).cast("long").alias("n_words"), gate.alias("gate"))
         .select(
+            "row",
             "doc_id",
             "n_words",
             *_base_columns(F.col("s")),
@@ -193,28 +194,29 @@ def _marked(docs: DataFrame) -> DataFrame:
 
 
 def _detections(marked: DataFrame) -> DataFrame:
-    """(doc_id, rule, label, start, end) kept after suppression; offsets in the normalised text."""
+    """(row, doc_id, rule, label, start, end, ...) kept after suppression; offsets in the normalised text."""
     table = rules()
     info = F.expr(
         "array(" + ",".join(f"named_struct('label','{a}','priority',{p},'confidence',{c}D)" for a, p, c, _, _ in table) + ")"
     )
     parts = (
         marked.where(F.size("found") > 0)
-        .select("doc_id", F.explode("found").alias("f"))
-        .select("doc_id", "f.rule", F.posexplode(F.arrays_zip("f.gaps", "f.lengths")).alias("nth", "z"))
+        .select("row", "doc_id", F.explode("found").alias("f"))
+        .select("row", "doc_id", "f.rule", F.posexplode(F.arrays_zip("f.gaps", "f.lengths")).alias("nth", "z"))
         .where(F.col("z.lengths").isNotNull())
-        .select("doc_id", "rule", "nth", F.col("z.gaps").alias("gap"), F.col("z.lengths").alias("length"))
+        .select("row", "doc_id", "rule", "nth", F.col("z.gaps").alias("gap"), F.col("z.lengths").alias("length"))
     )
-    run = W.partitionBy("doc_id", "rule").orderBy("nth").rowsBetween(W.unboundedPreceding, 0)
+    run = W.partitionBy("row", "rule").orderBy("nth").rowsBetween(W.unboundedPreceding, 0)
     placed = parts.select(
+        "row",
         "doc_id",
         "rule",
         "length",
         (F.sum(F.col("gap") + F.col("length")).over(run) - F.col("length")).alias("start"),
         F.get(info, F.col("rule")).alias("i"),
-    ).select("doc_id", "rule", "start", (F.col("start") + F.col("length")).alias("end"), "i.*")
+    ).select("row", "doc_id", "rule", "start", (F.col("start") + F.col("length")).alias("end"), "i.*")
     # A detection goes if one that came before it in this order, with at least its priority, reaches as far.
-    order = W.partitionBy("doc_id").orderBy("start", F.desc("end"), F.desc("priority"), "rule")
+    order = W.partitionBy("row").orderBy("start", F.desc("end"), F.desc("priority"), "rule")
     earlier = order.rowsBetween(W.unboundedPreceding, -1)
     levels = sorted({p for _, p, _, _, _ in table})
     reach = F.coalesce(
@@ -225,7 +227,7 @@ def _detections(marked: DataFrame) -> DataFrame:
 
 def detect(docs: DataFrame) -> DataFrame:
     """Kept detections of every document: doc_id, rule, start, end, label, priority, confidence."""
-    return _detections(cut(_marked(docs.select("doc_id", "text"))))
+    return _detections(cut(_marked(docs.select("doc_id", "text")))).drop("row")
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -234,21 +236,21 @@ def scan(docs: DataFrame) -> DataFrame:
     Each rule runs only on texts that pass the common gate and hold its keyword.
     A detection inside another one of equal or higher priority is suppressed. The
     score is the greatest confidence among those kept, 0 without any; a base
-    phrase alone counts 0.6. Null texts have no words; repeated doc_ids are
-    scanned as one document's text for the method's labels; empty tables give
-    empty results; other columns are ignored.
+    phrase alone counts 0.6. Null texts have no words; every row is scanned by
+    itself, whether its doc_id is null or repeats or not; empty tables give empty
+    results; other columns are ignored.
     """
     marked = cut(_marked(docs.select("doc_id", "text")))
     best = (
         _detections(marked)
-        .groupBy("doc_id")
+        .groupBy("row")
         .agg(F.collect_set("label").alias("found_labels"), F.max("confidence").alias("confidence"))
     )
     k = range(len(BASE))
     base = F.array_compact(F.array(*[F.when(F.col(f"n{i}") > 0, F.lit(v)) for i, v in enumerate(BASE.values())]))
     return (
         marked.drop("found")
-        .join(best, "doc_id", "left")
+        .join(best, "row", "left")
         .withColumn("base", F.array_sort(F.array_distinct(base)))
         .select(
             "doc_id",

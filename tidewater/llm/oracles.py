@@ -28,7 +28,7 @@ _RULE_ROWS = " union all ".join(
     f"select *, {k} as place, '{name}' as rule, cast(least({STEPS}, ceil(({value}) / cast({top} as double) * {STEPS})) as int) as step from m"
     for k, (name, (value, top)) in enumerate(RULES.items())
 )
-_TESTS = (len(LANGS) + 1) * len(RULES) * STEPS
+_TESTS, _RISK = (len(LANGS) + 1) * len(RULES), RISK / len(RULES)
 
 QUALITY = rf"""
 with t as (select doc_id, coalesce(text, '') as text,
@@ -48,8 +48,8 @@ good as (select stratum, rule, step from s where not base_failed and doc_id in (
 k as (select stratum, rule, c.cutoff, count(*) as n, count(*) filter (where step > c.cutoff) as k
   from good, (select unnest(range(0, {STEPS})) as cutoff) c group by 1, 2, 3),
 p as (select stratum, rule, cutoff, (select sum(exp(lgamma(n + 1) - (case when j = 0 then 0 else lgamma(j + 1) end)
-      - (case when n = j then 0 else lgamma(n - j + 1) end) + j * ln({RISK}) + (n - j) * ln(1 - {RISK})))
-    from (select unnest(range(0, k.k + 1)) as j)) as tail from k where k <= n * {RISK}),
+      - (case when n = j then 0 else lgamma(n - j + 1) end) + j * ln({_RISK}) + (n - j) * ln(1 - {_RISK})))
+    from (select unnest(range(0, k.k + 1)) as j)) as tail from k where k <= n * {_RISK}),
 cut as (select stratum, rule, min(cutoff) as cutoff from p where tail <= {(1 - CONFIDENCE) / _TESTS!r} group by 1, 2),
 bad as (select doc_id, string_agg(s.rule, ',' order by place) as rejected_by
   from s join cut on s.stratum = cut.stratum and s.rule = cut.rule and s.step > cut.cutoff group by 1)

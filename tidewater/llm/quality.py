@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import cut, let
 
-#: A rule may reject at most this share of a stratum's good documents ...
+#: All rules together may reject at most this share of a stratum's good documents; each has an equal part of it ...
 RISK = 0.02
 #: ... and all such statements hold together with this confidence.
 CONFIDENCE = 0.95
@@ -108,16 +108,19 @@ def rule_steps() -> Column:
 def thresholds(measured: DataFrame, labels: DataFrame, risk: float = RISK, confidence: float = CONFIDENCE) -> DataFrame:
     """(stratum, rule, cutoff_step): the strictest cutoffs whose false rejection is under control.
 
-    For stratum s, rule r and cutoff c, k of the n good labelled documents exceed
-    c. The hypothesis "more than ``risk`` of good documents exceed c" is refused
-    where P(Binomial(n, risk) <= k) is at most (1 - confidence) / (strata x rules x
-    cutoffs): an exact bound with Bonferroni's correction over everything tried.
+    For stratum s, rule r and cutoff c, k of the n good labelled documents exceed c.
+    The hypothesis "more than risk / rules of good documents exceed c" is refused where
+    P(Binomial(n, risk / rules) <= k) is at most (1 - confidence) / (strata x rules): an
+    exact bound with Bonferroni's correction over strata and rules. Cutoffs are tried
+    from the laxest on and k only grows, so that those of one rule are a fixed sequence
+    and need no correction of their own. By the union bound the rules together reject
+    more than ``risk`` of a stratum's good documents with probability 1 - confidence at most.
     Documents that fail the base rules take no part. Where no cutoff qualifies the
     rule rejects nothing in that stratum. Labelled rows are reduced to counts by
     (stratum, rule, step) before the shuffle; at most strata x rules rows return.
     """
     good = labels.where(F.col("quality") == 1).select("doc_id").distinct()
-    tests = (len(LANGS) + 1) * len(RULES) * STEPS
+    tests, risk = (len(LANGS) + 1) * len(RULES), risk / len(RULES)
     counts = (
         measured.where("not base_failed")
         .join(good, "doc_id", "left_semi")

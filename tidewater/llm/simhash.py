@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import connected_components, cut
+from tidewater.llm.common import connected_components, cut, small
 
 SEED = 42
 SHINGLE = 3
@@ -45,18 +45,18 @@ def fingerprint(text: str | None) -> int:
     return int(on.view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long. A null text has none: zero."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, *carry): the fingerprint as a signed long. A null text has none: zero."""
 
     def batches(it):
         for batch in it:
             found = [fingerprint(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64))], ["doc_id", "fp"]
-            )
+            fps = pa.array(np.array(found, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), fps, *batch.columns[2:]], ["doc_id", "fp", *carry])
 
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return slim.mapInArrow(batches, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, fp long")
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *carry)
+    more = "".join(f", {c} {slim.schema[c].dataType.simpleString()}" for c in carry)
+    return slim.mapInArrow(batches, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, fp long{more}")
 
 
 def _signed(x: int) -> int:
@@ -128,13 +128,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     table gives an empty result; other columns are ignored.
     """
     marked = cut(fingerprints(docs, id_col, text_col))
-    nodes = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    joined = connected_components(near_links(nodes), "a", "b")
-    classes = nodes.join(joined, nodes.fp == joined.node, "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("class")
-    )
+    classes = _classes(cut(marked.groupBy("fp").agg(F.min("doc_id").alias("least"))))
     least = classes.groupBy("class").agg(F.min("least").alias("component_id"))
     named = classes.join(least, "class").select("fp", "component_id")
-    return marked.join(named, "fp").select(
+    return marked.join(small(named), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def _classes(nodes: DataFrame) -> DataFrame:
+    """The rows of ``nodes``, one a fingerprint, with the class that links put it into."""
+    joined = connected_components(near_links(nodes.select("fp")), "a", "b")
+    return nodes.join(joined, nodes.fp == joined.node, "left").select(*nodes.columns, F.coalesce("component", "fp").alias("class"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each component of linked fingerprints: that with the smallest doc_id, then text hash.
+
+    Rows are told apart by doc_id and a 128-bit key of the text; of rows equal in both
+    one stays. Rows without an id take part and come last in a component. Columns pass
+    through whatever their names; an empty table gives an empty result.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    own = F.struct(
+        F.isnull("row.doc_id").alias("none"), F.col("row.doc_id").alias("doc_id"),
+        F.xxhash64("row.text").alias("x"), F.xxhash64(F.lit("text"), "row.text").alias("y"),
+    )
+    rows = rows.withColumn("own", own)
+    marked = cut(fingerprints(rows, "row.doc_id", "row.text", ("own",)))
+    classes = _classes(cut(marked.groupBy("fp").agg(F.min("own").alias("own"))))
+    keep = cut(classes.groupBy("class").agg(F.min("own").alias("own")).select("own"))
+    kept = rows.join(small(keep), "own", "left_semi")
+    again = small(marked.groupBy("own").agg(F.count("*").alias("n")).where("n > 1").select("own"))
+    if again.isEmpty():
+        return kept.select("row.*")
+    once, twice = kept.join(again, "own", "left_anti"), kept.join(again, "own", "left_semi")
+    return once.union(twice.dropDuplicates(["own"])).select("row.*")
