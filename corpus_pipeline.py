@@ -33,26 +33,16 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component the document with the smallest doc_id stays; rows without an id stay.
-
-    Of rows with one doc_id in that place one stays.
-    """
-    marks = simhash.near_duplicates(docs)
-    gone = marks.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(small(gone), "doc_id", "left_anti")
-    again = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null")
-    if again.isEmpty():
-        return kept
-    twice = again.select("doc_id")
-    once = kept.join(small(twice), "doc_id", "left_anti")
-    return once.unionByName(kept.join(small(twice), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    """Of each component one document stays, that with the smallest doc_id; of rows equal in id and text one."""
+    return simhash.one_of_each(docs.select(*COLUMNS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the benchmark contaminates go."""
-    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    gone = found.where("contaminated").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(small(gone), "doc_id", "left_anti")
+    """Documents that the benchmark contaminates go, told by a 128-bit key of the text: ids may be null or repeat."""
+    key = F.struct(F.xxhash64("text").alias("x"), F.xxhash64(F.lit("text"), "text").alias("y"))
+    found = decontamination.contamination(docs.select(key.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    gone = found.where("contaminated").select(F.col("doc_id").alias("own")).distinct()
+    return docs.select(*COLUMNS, key.alias("own")).join(small(gone), "own", "left_anti").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
