@@ -27,6 +27,20 @@ def test_run(spark):
     assert len(rows) > 100 and max(r.offset + r.length for r in rows) <= 4096
 
 
+def test_stages_take_awkward_rows(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet").columns
+    rows = [(1, None), (1, ""), (2, "one two three\nsame line again"), (2, "one two three\nsame line again"), (None, "same line again"), (3, "w " * 30_000), (3, "other text of this id")]
+    docs = spark.createDataFrame([(i, t, None, "s", len(t or ""), 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, row int")
+    for frame, most in ((docs, len(rows)), (docs.limit(0), 0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, frame, SF)
+            n = out.count()
+            assert (n > 0) == (most > 0), name
+            assert out.columns == table or name == "packing"
+    texts = {r.text for r in dict(corpus_pipeline.STAGES)["simhash"](spark, docs, SF).collect()}
+    assert {"other text of this id", "same line again", "one two three\nsame line again"} <= texts
+
+
 def test_names():
     found = queries.queries()
     assert sorted(int(n[2:].split("_")[0]) for n in found) == list(range(1, 11))

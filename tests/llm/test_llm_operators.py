@@ -390,15 +390,52 @@ def test_chunk_encoder():
         assert e.encode(t) == e.whole(t), repr(t)
 
 
-def test_evolution_beats_or_meets_first_fit():
+def test_evolution_beats_best_fit_decreasing():
+    def check(sizes):
+        best = packing.evolve(sizes, [], 4096, 1)[0]
+        assert sorted(i for b in best for i in b) == list(range(len(sizes)))
+        assert all(sum(sizes[i] for i in b) <= 4096 for b in best)
+        plain = packing._Bins(4096)
+        plain.best_fit(sorted(range(len(sizes)), key=lambda i: -sizes[i]), sizes)
+        return len(best), len(plain.bins)
+
     rng = np.random.default_rng(5)
-    sizes = [int(x) for x in rng.integers(30, 3000, 300)]
-    best = packing.evolve(sizes, [], 4096, 1)[0]
-    assert sorted(i for b in best for i in b) == list(range(300))
-    assert all(sum(sizes[i] for i in b) <= 4096 for b in best)
-    plain = packing._Bins(4096)
-    plain.best_fit(sorted(range(300), key=lambda i: -sizes[i]), sizes)
-    assert len(best) <= len(plain.bins)
+    for n in (20, 40, 60):  # triplets that fill n sequences exactly
+        pairs = np.c_[rng.integers(1400, 1900, n), rng.integers(1000, 1300, n)].tolist()
+        got, plain = check([x for p in pairs for x in (*p, 4096 - sum(p))])
+        assert n <= got < plain
+    got, plain = check([int(x) for x in rng.integers(800, 1800, 200)])
+    assert got < plain
+    got, plain = check([int(x) for x in rng.integers(30, 3000, 300)])
+    assert got <= plain
+
+
+def test_memo_is_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO_BYTES", 2000)
+    memo = packing._Memo(lambda k: k.encode())
+    assert [memo[str(i)] for i in range(100)] == [str(i).encode() for i in range(100)]
+    assert len(memo) < 10 and memo["x" * 5000] == b"x" * 5000 and "x" * 5000 not in memo
+
+
+def test_rows_with_null_and_repeated_ids_are_judged_by_themselves(spark):
+    item = " ".join(f"b{i}" for i in range(13))
+    rows = [
+        (1, "four words in all"), (1, item + " and seven more words that are clean here"), (None, item), (None, "clean"), (1, item + " x"),
+        (2, "nothing at all"), (2, "Licensed under CC BY-NC 4.0."), (None, "Licensed under CC BY-NC 4.0."), (2, "nothing at all"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(None, item), (8, item), (9, "nothing at all")], "item_id long, text string")
+    got = decontamination.contamination(df, items).collect()
+    hits = {item: (13, 2), "nothing at all": (3, 1)}
+    want = collections.Counter((i, len(lower_words(t)), *next((v for k, v in hits.items() if k in t), (0, 0))) for i, t in rows)
+    assert collections.Counter((r.doc_id, r.n_words, r.n_hit, r.n_items) for r in got) == want
+    assert {r.items_sha256 for r in got if r.n_hit == 13} == {hashlib.sha256(b"8").hexdigest()}
+    found = collections.Counter((r.doc_id, r.labels) for r in licenses.scan(df).collect())
+    assert found == collections.Counter((i, "cc-by-nc-4.0" if "CC" in t else "") for i, t in rows)
+    odd = df.withColumns({"own": F.lit(1), "fp": F.lit("x"), "a.b": F.lit(2)})
+    kept = simhash.one_of_each(odd).collect()
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept))) == sorted(map(str, [rows[0], rows[1], (1, item + " x"), (None, item), (None, "clean"), rows[5], rows[6]]))
+    assert simhash.one_of_each(odd.limit(0)).columns == odd.columns
 
 
 def test_pii(docs, empty, spark):

@@ -27,6 +27,18 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: Rows and bytes of an Arrow batch that a Python worker holds at a time.
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's limits of Arrow batches, so that whole texts don't fill the workers; never raise them."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key, None)
+        if now is not None and (int(now) <= 0 or int(now) > most) and spark.conf.isModifiable(key):
+            spark.conf.set(key, most)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use spark.checkpoint.dir; fall back to a local folder in plain local mode only."""
     sc = spark.sparkContext

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import cut, let
+from tidewater.llm.common import bound_batches, cut, let
 
 #: Bounds of the labelled sample: documents of each language, bytes of a document.
 DOCS_PER_LANG, MAX_TEXT_BYTES = 300, 50_000
@@ -106,6 +106,7 @@ def sample(docs: DataFrame) -> list[tuple[str, str]]:
 
 def read_pages(pages: DataFrame, model: TextModel) -> DataFrame:
     """(page_id, host, domain, suffix, declared, text_post): what each page says by itself."""
+    bound_batches(pages.sparkSession)
     slim = pages.select("page_id", "url", "html")
     langs = set(model.langs)
 

@@ -2,25 +2,24 @@
 
 from __future__ import annotations
 
-import functools
 import math
 import sys
 import unicodedata
 import zlib
 from array import array
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import cut
+from tidewater.llm.common import bound_batches, cut
 
 CAPACITY = 4096
 END_ID = 1
-#: Chunks whose ids a worker remembers.
-MEMO = 150_000
+#: Bytes of remembered words, and of remembered chunks, that a task may hold.
+MEMO_BYTES = 20 << 20
 LITTLE = sys.byteorder == "little"
 #: Fixed value: how the tokenizer divides a text, as its file states.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -37,14 +36,20 @@ FULL_ENOUGH = 0.995
 
 
 class _Memo(dict):
-    """Computes what it doesn't hold; emptied by its owner when it is too large."""
+    """Computes what it doesn't hold; empties itself when it holds MEMO_BYTES."""
 
     def __init__(self, compute):
         super().__init__()
-        self.compute = compute
+        self.compute, self.held = compute, 0
 
     def __missing__(self, key):
-        value = self[key] = self.compute(key)
+        value = self.compute(key)
+        self.held += 4 * len(key) + len(value) + 250  # characters take up to four bytes
+        if self.held > MEMO_BYTES:
+            self.clear()
+            self.held = 0
+        if len(key) < 1000:
+            self[key] = value
         return value
 
 
@@ -95,19 +100,10 @@ class ChunkEncoder:
             text = unicodedata.normalize("NFC", text)
         if any(s in text for s in self.specials) or any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self.whole(text)
-        for memo in (self.chunks, self.words):
-            if len(memo) > MEMO:
-                memo.clear()
         chunks = self.chunks
         return b"".join([chunks[c] for c in text.lower().split()])
 
 
-@functools.cache
-def _encoder(path: str) -> ChunkEncoder:
-    """One for a worker, whatever the number of its tasks."""
-    return ChunkEncoder(path)
-
-
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
     """(doc_id, copy, piece, start, length, ids_crc32[, ids]) for every document.
 
@@ -119,7 +115,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep_
     names = ["doc_id", "copy", "piece", "start", "length", "ids_crc32", *["ids"] * keep_ids]
 
     def batches(it):
-        encoder = _encoder(tokenizer_path)
+        encoder = ChunkEncoder(tokenizer_path)  # goes with the task
         end = np.array([END_ID], "<u4").tobytes()
         for b in it:
             rows, out = [], [[] for _ in range(6)]
@@ -136,6 +132,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep_
                 names,
             )
 
+    bound_batches(docs.sparkSession)
     slim = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("copy"))
     return slim.mapInArrow(
         batches,
@@ -174,6 +171,27 @@ def _fitness(bins: list[list[int]], sizes, capacity: int) -> tuple[int, float]:
     return len(bins), -sum((sum(sizes[i] for i in b) / capacity) ** 2 for b in bins)
 
 
+def _swap(packed: _Bins, loose: list[int], sizes) -> None:
+    """Fill bins up: an item of a bin gives way to the largest displaced one that fits in its place."""
+    loose.sort(key=lambda i: sizes[i])
+    known = [sizes[i] for i in loose]
+    for b in range(len(packed.bins)):
+        own = packed.bins[b]
+        for k in range(len(own)):
+            if not packed.free[b]:
+                break
+            s = sizes[own[k]]
+            at = bisect_right(known, s + packed.free[b]) - 1
+            if at >= 0 and known[at] > s:
+                packed.free[b] -= known[at] - s
+                out, own[k] = own[k], loose.pop(at)
+                known.pop(at)
+                to = bisect_left(known, s)
+                known.insert(to, s)
+                loose.insert(to, out)
+    packed.order = sorted((f, b) for b, f in enumerate(packed.free) if f and packed.bins[b])
+
+
 def _cross(left, right, sizes, capacity: int, rng) -> list[list[int]]:
     """Whole well-filled bins of ``left`` go into ``right``; what that displaces is best-fitted."""
     fill = np.array([sum(sizes[i] for i in b) for b in left])
@@ -189,6 +207,7 @@ def _cross(left, right, sizes, capacity: int, rng) -> list[list[int]]:
         else:  # holds a duplicate: the bin goes, its other documents are displaced
             loose += [i for i in b if i not in taken]
     _mutate(packed, loose, sizes, rng)
+    _swap(packed, loose, sizes)
     loose.sort(key=lambda i: -sizes[i])
     packed.best_fit(loose, sizes)
     return [b for b in packed.bins if b]
@@ -204,18 +223,22 @@ def _mutate(packed: _Bins, loose: list[int], sizes, rng) -> None:
     packed.order = [x for x in packed.order if x[1] not in gone]
 
 
-def evolve(sizes: list[int], start: list[list[list[int]]], capacity: int, seed: int) -> list[list[list[int]]]:
-    """Some generations on one island; the population, best first."""
+def evolve(sizes: list[int], start: list[list[list[int]]], capacity: int, seed: int, generations: int = GENERATIONS) -> list[list[list[int]]]:
+    """Some generations on one island; the population, best first.
+
+    The first people are best-fit packings in random orders, far from the best; it is
+    crossover, swaps and selection that bring the number of bins down. An island rests
+    once its best meets the bound of the summed size.
+    """
     rng = np.random.default_rng(seed)
     bound = math.ceil(sum(sizes) / capacity)
     people = list(start)
     while len(people) < POPULATION:
-        noise = rng.random(len(sizes)) * (0 if not people else 0.05 * capacity)
         packed = _Bins(capacity)
-        packed.best_fit(sorted(range(len(sizes)), key=lambda i: (-(sizes[i] + noise[i]), i)), sizes)
+        packed.best_fit(rng.permutation(len(sizes)).tolist(), sizes)
         people.append(packed.bins)
     people.sort(key=lambda p: _fitness(p, sizes, capacity))
-    for _ in range(GENERATIONS):
+    for _ in range(generations):
         if len(people[0]) <= bound:
             break
         a, b = rng.choice(len(people), 2, replace=False)
@@ -288,13 +311,14 @@ def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     blocks of about BLOCK pieces; on ISLANDS islands each block's packing evolves,
     elites migrate between epochs, and the best is kept. Bins that are not
     FULL_ENOUGH are opened and their pieces packed again in fewer blocks, ROUNDS
-    times in all, so that what a block leaves over is filled from others.
+    times in all, so that what a block leaves over is filled from others. A sequence's
+    number is made of round, block and bin, that of a full piece of its row: no two are equal.
     No step holds more than a block in one task.
     """
     found = cut(found)
     rest = found.where(F.col("length") < capacity).select("doc_id", "copy", "piece", "length")
     done = found.where(F.col("length") >= capacity).select(
-        "copy", "piece", F.xxhash64("doc_id", "copy", "piece", F.lit("full")).alias("sequence_id")
+        "copy", "piece", (F.lit(-1) - F.monotonically_increasing_id()).alias("sequence_id")
     )
     keys = ["copy", "piece"]  # a copy is one row of the input; ids may be null or repeat
     for turn in range(ROUNDS):
@@ -318,7 +342,7 @@ def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         else:
             again = None
         done = done.unionByName(
-            packed.select(*keys, F.xxhash64("block", "bin", F.lit(turn)).alias("sequence_id"))
+            packed.select(*keys, (F.lit(turn << 58) + F.shiftleft("block", 20) + F.col("bin")).alias("sequence_id"))
         )
         if again is None:
             break

@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidewater.llm.common import bound_batches
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 #: Kinds that the CRF adds.
 CRF_KINDS = ("secret", "email_spelled", "phone_local", "id_number")
@@ -374,6 +376,7 @@ def scan(docs: DataFrame, crf: Crf | None = None) -> DataFrame:
     (CRF_KINDS). Null and empty texts have no spans. Repeated rows are scanned
     alike; an empty table gives an empty result; other columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     crf = crf or train(training_table())
     slim = docs.select("doc_id", "text")
 

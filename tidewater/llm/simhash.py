@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import connected_components, cut, small
+from tidewater.llm.common import bound_batches, connected_components, cut, small
 
 SEED = 42
 SHINGLE = 3
@@ -54,6 +54,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = pa.array(np.array(found, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), fps, *batch.columns[2:]], ["doc_id", "fp", *carry])
 
+    bound_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *carry)
     more = "".join(f", {c} {slim.schema[c].dataType.simpleString()}" for c in carry)
     return slim.mapInArrow(batches, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, fp long{more}")

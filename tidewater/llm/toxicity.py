@@ -1,6 +1,7 @@
 """Toxicity by compression distance: two zstandard dictionaries, calibrated lengths.
 
-A window is one word, lower-cased and stripped of punctuation, set between two
+A window is one word, lower-cased and stripped of punctuation, or a stretch of a
+longer token (stretches overlap by half and cover all of it), set between two
 constant carriers; the carriers lie in both dictionaries, so that a window is
 always compressed and the two lengths differ by the window alone. The ordinary
 dictionary holds frequent words of ordinary text; the toxic one has the same size
@@ -22,8 +23,10 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import bound_batches
+
 #: Bounds of the labelled sample that the model is fitted on.
-MAX_TOXIC, MAX_ORDINARY, MAX_TEXT_BYTES = 3000, 9000, 200_000
+MAX_TOXIC, MAX_ORDINARY, MAX_TEXT_BYTES = 1500, 3000, 40_000
 #: Shares of toxic documents that a word of the toxic section must occur in; calibration picks one.
 SHARES = (0.005, 0.01, 0.02, 0.04, 0.08)
 #: Toxic text must have such a word this many times as often as ordinary text.
@@ -31,8 +34,8 @@ CONTRAST = 10
 LEVEL = 11
 COMMON_WORDS = 3000
 MAX_SECTION_WORDS = 4000
-#: Distinct windows whose weight a worker remembers.
-MEMO = 300_000
+#: Bytes of a window at most, and distinct windows whose weight a worker remembers during a task.
+WINDOW, MEMO = 64, 60_000
 #: Window lengths and differences are clipped to these.
 MAX_LENGTH, LEAST_DIFF, MOST_DIFF = 24, -4, 12
 
@@ -43,7 +46,11 @@ _TO_SPACE = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
 
 
 def windows(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode("utf-8", "replace").translate(_TO_SPACE).split()
+    words = (text or "").lower().encode("utf-8", "replace").translate(_TO_SPACE).split()
+    if max(map(len, words), default=0) <= WINDOW:
+        return words
+    step = WINDOW // 2
+    return [w[k : k + WINDOW] for w in words for k in range(0, max(1, len(w) - step), step)]
 
 
 @dataclass
@@ -83,7 +90,7 @@ class Scorer:
         if found is None:
             if len(self.memo) >= MEMO:
                 self.memo.clear()
-            found = self.memo[word] = float(self.model.weights[self.cell(word[:4096])])
+            found = self.memo[word] = float(self.model.weights[self.cell(word)])
         return found
 
     def features(self, text: str | None) -> np.ndarray:
@@ -149,7 +156,7 @@ def _calibrate(model: Model, hold: list[tuple[str | None, int]]) -> float:
         for w in windows(text):
             c = cells.get(w)
             if c is None:
-                c = cells[w] = scorer.cell(w[:4096])
+                c = cells[w] = scorer.cell(w)
             counts[h, int(y)][c] += 1
 
     def weights(c):
@@ -215,9 +222,10 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
         scorer = Scorer(model)
         at = out.index("text")
         for b in it:
-            s = scorer.score([t.as_py() for t in b.column(at)])
+            s = scorer.score(t.as_py() for t in b.column(at))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], [*out, "score"])
 
+    bound_batches(docs.sparkSession)
     kept = docs.drop("score")
     out = kept.schema.names
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", score double"
