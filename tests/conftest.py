@@ -24,6 +24,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
         .config("spark.sql.python.filterPushdown.enabled", "true")
         .getOrCreate()
     )

@@ -173,7 +173,8 @@ def test_drift_and_volume(store, frame, record):
     load(store, frame, [r], 2, 1)
     drift = quality.check_schema_drift(store, 2)
     assert not drift.passed and drift.observed == 2 and "novel.field" in drift.detail
-    assert quality.check_schema_drift(store, 3).passed
+    assert not quality.check_schema_drift(store, 3).passed  # a run of checks alone compares the last two
+    assert quality.check_schema_drift(store, 1).passed
     for n in (100, 110, 90):
         run = jobs.start_run(store, "daily")
         jobs.record_metrics(store, run, {"studies_fetched": n})
@@ -202,6 +203,33 @@ def test_status_without_runs_and_cli(store, spark, monkeypatch, tmp_path, capsys
     assert cli.verify_api(spark, cfg, read, TODAY - dt.timedelta(days=9)) == 1
 
 
+def test_flow_tries_again_and_writes_the_page(store, frame, record, tmp_path):
+    tries, good = [], source_of(frame, [record(f"N{i}", "2026-08-27") for i in range(3)])
+
+    def flaky(spark, start, end):
+        tries.append(start)
+        if len(tries) == 1:
+            raise OSError("down")
+        return good(spark, start, end)
+
+    cfg = Config(store.root, status_page=str(tmp_path / "s" / "p.html"))
+    found = jobs.daily_flow(store, cfg, TODAY, flaky, (0,))
+    assert found["status"] == "succeeded" and len(tries) == 2 and (tmp_path / "s" / "p.html").exists()
+    assert [r.status for r in store.read("ops.pipeline_runs").orderBy("run_id").collect()] == ["failed", "succeeded"]
+
+
+def test_a_lock_that_was_left_behind_is_taken_over(store, monkeypatch):
+    from tidewater.sources import store as module
+
+    with store.writer():
+        monkeypatch.setattr(module, "LOCK_SECONDS", -1)
+        with store.writer():
+            pass
+        monkeypatch.undo()
+    with store.writer():
+        pass
+
+
 def test_one_writer(store):
     with store.writer(), pytest.raises(RuntimeError), store.writer():
         pass

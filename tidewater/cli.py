@@ -34,7 +34,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     parser = argparse.ArgumentParser(prog="tidewater")
     parser.add_argument("-v", "--verbose", action="store_true")
     sub = parser.add_subparsers(dest="command", required=True)
-    for name in ("verify-api", "migrate", "daily", "checks", "status"):
+    for name in ("verify-api", "migrate", "daily", "flow", "checks", "status"):
         sub.add_parser(name)
     b = sub.add_parser("backfill")
     b.add_argument("--start", type=dt.date.fromisoformat, required=True)
@@ -43,13 +43,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.DEBUG if args.verbose else logging.INFO, stream=sys.stderr)
     cfg, spark = Config.from_env(), spark or _session()
-    store = Store(spark, cfg.warehouse)
+    store = Store(spark, cfg.warehouse, cfg.buckets, cfg.bucket_files)
     if args.command == "verify-api":
         return verify_api(spark, cfg)
     if args.command == "migrate":
         print(json.dumps({"created": store.migrate()}))
     elif args.command == "daily":
         print(json.dumps(jobs.run_daily(store, cfg)))
+    elif args.command == "flow":
+        print(json.dumps(jobs.daily_flow(store, cfg)))
     elif args.command == "backfill":
         print(json.dumps(jobs.run_backfill(store, cfg, args.start, args.end, args.chunk_days)))
     elif args.command == "checks":

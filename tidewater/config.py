@@ -16,6 +16,8 @@ class Config:
     page_size: int = 1000
     max_retries: int = 5
     status_page: str = "status/index.html"
+    buckets: int = 8
+    bucket_files: int = 1
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> Config:

@@ -298,3 +298,9 @@ def backfill_chunks(spark, d):
     return _read(spark, d, "events").groupBy(chunk.alias("chunk")).agg(
         F.count("*").alias("n"), F.min(day).alias("first_day"), F.max(day).alias("last_day")
     )
+
+
+from tidewater.plans import engine  # noqa: E402  the engine's own operators, in the same registry
+
+QUERIES |= engine.QUERIES
+ORACLES |= engine.ORACLES
