@@ -19,7 +19,7 @@ from tidewater.llm.common import bound_batches, cut
 CAPACITY = 4096
 END_ID = 1
 #: Bytes of remembered words, and of remembered chunks, that a task may hold.
-MEMO_BYTES = 20 << 20
+MEMO_BYTES = 32 << 20
 LITTLE = sys.byteorder == "little"
 #: Fixed value: how the tokenizer divides a text, as its file states.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -100,8 +100,14 @@ class ChunkEncoder:
             text = unicodedata.normalize("NFC", text)
         if any(s in text for s in self.specials) or any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self.whole(text)
-        chunks = self.chunks
-        return b"".join([chunks[c] for c in text.lower().split()])
+        chunks, words = self.chunks, self.words
+        # Most chunks are a word, or a word and a sign: those are only remembered as words.
+        return b"".join(
+            [
+                (words[c] if c.isalpha() else words[c[:-1]] + words[c[-1]] if c[:-1].isalpha() else chunks[c]) if c.isascii() else chunks[c]
+                for c in text.lower().split()
+            ]
+        )
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:

@@ -35,7 +35,7 @@ LEVEL = 11
 COMMON_WORDS = 3000
 MAX_SECTION_WORDS = 4000
 #: Bytes of a window at most, and distinct windows whose weight a worker remembers during a task.
-WINDOW, MEMO = 64, 60_000
+WINDOW, MEMO = 64, 150_000
 #: Window lengths and differences are clipped to these.
 MAX_LENGTH, LEAST_DIFF, MOST_DIFF = 24, -4, 12
 
