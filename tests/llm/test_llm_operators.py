@@ -459,6 +459,78 @@ def test_pii(docs, empty, spark):
     assert pii.scan(empty, crf).count() == 0
 
 
+def planted(seed, n):
+    """Texts with the spans of kinds that the CRF adds, from sentences that it wasn't trained on."""
+    import random
+
+    r = random.Random(seed)
+    for words, tags in pii.training_table(seed=seed, n=n):
+        filler = ["".join(r.choice("aeioulnrst") for _ in range(r.randint(2, 9))) for _ in range(40)]
+        words, tags = filler + words + filler, ["O"] * 40 + tags + ["O"] * 40
+        text, want, at = " ".join(words), [], 0
+        for w, t in zip(words, tags, strict=True):
+            if t[0] == "B":
+                want.append([t[2:], at, 0])
+            if t != "O":
+                want[-1][2] = at + len(w)
+            at += len(w) + 1
+        for x in want:
+            while text[x[1]] in pii._EDGE + "=":
+                x[1] += 1
+            while text[x[2] - 1] in pii._EDGE:
+                x[2] -= 1
+        yield text, {tuple(x) for x in want}
+
+
+def test_plain_words_say_what_the_general_way_has_them_say():
+    import random
+
+    r = random.Random(3)
+    parts = [*"aZbéÉßÿÞªºµ×1.,", "at", "tel", "TOKEN", "key"]
+    for _ in range(20_000):
+        w = "".join(r.choice(parts) for _ in range(r.randint(1, 6)))
+        core = w.strip(pii._EDGE)
+        said = pii._about(w)
+        shape = core
+        for pattern, to in pii._SHAPES:
+            shape = pattern.sub(to, shape)
+        low = w.lower().strip("\"'`,;!?.:") or w
+        assert said[:2] == (shape if len(shape) <= 12 else shape[:6] + "~" + shape[-6:], pii._CUE_OF.get(low, "-")), w
+        assert said[2] == ("0" if not core else str(min(9, len(core) // 4))) and said[3] == str(min(12, sum(c.isdigit() for c in core)))
+
+
+def test_pii_spans_of_planted_texts():
+    decoder = pii.Decoder(pii.train(pii.training_table()))
+    texts, want = zip(*planted(99, 300), strict=True)
+    got = [set(x) for x in pii.crf_spans(list(texts), decoder)]
+    right, found, there = (sum(map(len, x)) for x in ([g & w for g, w in zip(got, want, strict=True)], got, want))
+    print("added spans: precision", right / found, "recall", right / there, "of", there)
+    assert right / found > 0.95 and right / there > 0.95
+    said = ["please write to jane [at] example punkt org today", "the api_key = abcdefghijklmnopqrstuvwxyzabcdefgh here"]
+    assert [[k for k, _, _ in x] for x in pii.crf_spans(said, decoder)] == [["email_spelled"], ["secret"]]
+
+
+def test_what_is_not_decoded_is_o_in_the_best_path():
+    import random
+
+    decoder = pii.Decoder(pii.train(pii.training_table(n=200), rounds=40))
+    r, seen = random.Random(5), 0
+    for text, _ in planted(7, 60):
+        words = text.split()
+        r.shuffle(words)
+        words = words[: r.randint(0, 60)]
+        e = decoder.scores(words) if words else np.zeros((0, len(pii.TAGS)), np.float32)
+        assert np.allclose(e, decoder.crf.scores(words)) if words else True
+        whole = pii.viterbi([e], decoder.crf.move)[0] if words else np.zeros(0, np.int8)
+        own = np.zeros(len(words), np.int8)
+        for first, s in pii.segments(words, decoder):
+            path = pii.viterbi([s], decoder.crf.move)[0]
+            own[first : first + len(path)] |= path
+            seen += len(path)
+        assert own.tolist() == whole.tolist()
+    assert seen
+
+
 def test_viterbi_is_exact():
     import itertools
 

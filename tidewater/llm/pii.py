@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 from dataclasses import dataclass
@@ -18,8 +19,8 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 CRF_KINDS = ("secret", "email_spelled", "phone_local", "id_number")
 KINDS = BASE_KINDS + CRF_KINDS
 TAGS = ["O", *(f"{p}-{k}" for k in CRF_KINDS for p in "BI")]
-#: Words on either side of a candidate that are decoded with it.
-CONTEXT = 3
+#: Distinct words, and distinct neighbourhoods of words, that a worker remembers.
+MEMO = 60_000
 #: Words decoded at a time; bounds a worker's memory.
 WORDS_AT_ONCE = 100_000
 
@@ -28,7 +29,8 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_ANY = re.compile(r"[0-9@]|(?i:dot)")
+#: What every base pattern holds.
+_ANY = re.compile(r"[0-9@]")
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -72,7 +74,6 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 # --- the CRF -----------------------------------------------------------------
 
 _TOKEN = re.compile(r"\S+")
-_CANDIDATE = re.compile(r"[0-9]|(?i:^\W*dot\W*$)|(?i:^[\[(]at[\])]$)")
 _EDGE = "\"'`.,;:!?()[]{}<>|*#$%&"
 #: Words that announce a kind.
 _CUES = {
@@ -85,40 +86,50 @@ _CUES = {
     "sign": "= := : is -",
 }
 _CUE_OF = {w: c for c, words in _CUES.items() for w in words.split()}
+#: Letters by their category, but neither capital nor small in _SHAPES.
+_LETTER_SIGNS = frozenset("ªºµ")
 _SHAPES = [(re.compile("[A-ZÀ-ÖØ-Þ]+"), "X"), (re.compile("[a-zß-öø-ÿ]+"), "x"), (re.compile("[0-9]+"), "9")]
 
 
 def _shape(core: str) -> str:
+    """Runs of capitals, letters and digits as one sign each; of long shapes both ends."""
     for pattern, to in _SHAPES:
-        core = pattern.sub(to, core[:64])
-    return core[:12]
+        core = pattern.sub(to, core)
+    return core if len(core) <= 12 else core[:6] + "~" + core[-6:]
 
 
 def _about(word: str) -> tuple[str, ...]:
-    """What a word says of itself: shape, cue, size, digits, how mixed."""
+    """What a word says of itself: shape, cue, size, digits, how mixed; all of it is read."""
+    core = word.strip(".,")
+    if core.isalpha() and (core.isascii() or (max(core) <= "ÿ" and _LETTER_SIGNS.isdisjoint(core))):
+        form = "x" if core.islower() else "X" if core.isupper() else "Xx" if core[1:].islower() and core[0].isupper() else ""
+        if form:  # most words; what follows says the same of them
+            size = str(min(9, len(core) // 4))
+            return (form, _CUE_OF.get(core.lower(), "-"), size, "0", "plain" + size)
     core = word.strip(_EDGE)
     low = word.lower().strip("\"'`,;!?.:") or word
-    digits = sum(c.isdigit() for c in core[:256])
-    letters = sum(c.isalpha() for c in core[:256])
-    changes = sum(a.isdigit() != b.isdigit() for a, b in zip(core[:256], core[1:256], strict=False))
+    digits = sum(c.isdigit() for c in core)
+    letters = sum(c.isalpha() for c in core)
+    changes = sum(a.isdigit() != b.isdigit() for a, b in itertools.pairwise(core))
     size = "0" if not core else str(min(9, len(core) // 4))
     mixed = "mixed" if digits >= 4 and letters >= 4 and changes >= 6 else "plain"
     return (_shape(core), _CUE_OF.get(low, "-"), size, str(min(digits, 12)), mixed + size)
 
 
+#: What stands for a neighbour that isn't there.
+_NONE = ("^", "^", "", "", "")
+
+
+def _features(before: tuple, p: tuple, x: tuple, n: tuple) -> list[str]:
+    """Of a word, by what it, the two words before it and the next one say."""
+    return ["bias", "s=" + x[0], "c=" + x[1], "n=" + x[2], "d=" + x[3], "m=" + x[4], "p=" + p[0], "pc=" + p[1],
+            "q=" + n[0], "qc=" + n[1], "ppc=" + before[1], "sp=" + x[0] + "/" + p[0], "sq=" + x[0] + "/" + n[0],
+            "cc=" + p[1] + "/" + before[1], "dc=" + x[3] + "/" + p[1]]
+
+
 def features(words: list[str]) -> list[list[str]]:
-    a = [_about(w) for w in words]
-    edge = ("^", "^", "", "", "")
-    out = []
-    for i, x in enumerate(a):
-        p, n = (a[i - 1] if i else edge), (a[i + 1] if i + 1 < len(a) else edge)
-        pp = a[i - 2] if i > 1 else edge
-        out.append(
-            ["bias", "s=" + x[0], "c=" + x[1], "n=" + x[2], "d=" + x[3], "m=" + x[4], "p=" + p[0], "pc=" + p[1],
-             "q=" + n[0], "qc=" + n[1], "ppc=" + pp[1], "sp=" + x[0] + "/" + p[0], "sq=" + x[0] + "/" + n[0],
-             "cc=" + p[1] + "/" + pp[1], "dc=" + x[3] + "/" + p[1]]
-        )
-    return out
+    a = [_NONE, _NONE, *map(_about, words), _NONE]
+    return [_features(*a[i : i + 4]) for i in range(len(words))]
 
 
 def training_table(seed: int = 7, n: int = 600) -> list[tuple[list[str], list[str]]]:
@@ -127,8 +138,13 @@ def training_table(seed: int = 7, n: int = 600) -> list[tuple[list[str], list[st
     vowel, rest = "aeiou", "bcdfghklmnprst"
 
     def word():
+        if r.random() < 0.12:  # words that announce something elsewhere
+            return r.choice(["at", "at", "at", "to", "is", "no", "point", "a", "in", "is,", "at,"])
         return "".join(r.choice(rest) + r.choice(vowel) for _ in range(r.randint(1, 4))) + r.choice(["", "", "n", "s", ".", ","])
 
+    def name():
+        return "".join(r.choice(rest) + r.choice(vowel) for _ in range(r.randint(1, 4))) + r.choice(["", "n", "s"])
+
     def digits(k):
         return "".join(r.choice("0123456789") for _ in range(k))
 
@@ -137,14 +153,17 @@ def training_table(seed: int = 7, n: int = 600) -> list[tuple[list[str], list[st
 
     def secret():
         body = r.choice([hexes(r.randint(24, 48)), hexes(r.randint(24, 40)).upper(), "".join(r.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(r.randint(20, 44)))])
+        if r.random() < 0.25:  # letters alone
+            body = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(18, 40)))
         cue = r.choice("api_key token secret_key password access_key auth_token TOKEN API_KEY SECRET".split())
         quote = r.choice(['"', "'", ""])
         return [(cue, "O"), *[(s, "O") for s in r.choice([["="], [":"], ["="], []])], (quote + body + quote + r.choice(["", ";", ",", "!!"]), "secret")]
 
     def spelled():
-        at, dot = r.choice([("at", "dot"), ("(at)", "(dot)"), ("[at]", "[dot]")])
-        words = [word().strip(".,"), at, word().strip(".,"), dot, r.choice(["com", "org", "net", "example"])]
-        return [(r.choice(["mail", "email", "contact", "write"]), "O"), *[(w, "email_spelled") for w in words]]
+        at, dot = r.choice([("at", "dot"), ("(at)", "(dot)"), ("[at]", "[dot]"), (r.choice(["(at)", "[at]", "arroba", "at"]), r.choice(["dot", "(dot)", "[dot]", "punto", "punkt", "point"]))])
+        words = [name(), at, name(), dot, r.choice(["com", "org", "net", "example"])]
+        lead = [r.choice(["mail", "email", "contact", "write"]), *r.choice([[], [], ["to"], ["me", "to"], [word()]])]
+        return [*[(w, "O") for w in lead], *[(w, "email_spelled") for w in words]]
 
     def local():
         p = r.choice([["(0%s)" % digits(2), digits(3), digits(4)], ["%s-%s-%s" % (digits(3), digits(3), digits(4))], ["(%s)" % digits(3), "%s-%s" % (digits(3), digits(4))], ["0" + digits(3), digits(6)]])
@@ -156,7 +175,7 @@ def training_table(seed: int = 7, n: int = 600) -> list[tuple[list[str], list[st
         return [*[(c, "O") for c in cue], *[(w, "id_number") for w in p]]
 
     def number():  # numbers that are nobody's
-        p = r.choice([["version", "2.0."], [digits(4)], ["in", "19" + digits(2)], [digits(1)], [digits(16)], ["+1", "(%s)" % digits(3), digits(3) + "-" + digits(4)], [".".join(digits(3) for _ in range(4))], [word().strip(".,") + digits(2) + "@mail" + digits(1) + ".example.com"], ["CC", "BY-NC", "4.0."], ["at", word()], ["dot", word()], ["the", "key", "is", word()], [digits(3) + "%"], ["page", digits(2)], ["%s-%s-%s" % ("20" + digits(2), digits(2), digits(2))], ["call", word()], ["sha", hexes(7)], ["id", digits(3)], ["number", digits(4)], [hexes(32)], ["no", digits(2)]])
+        p = r.choice([["version", "2.0."], [digits(4)], ["in", "19" + digits(2)], [digits(1)], [digits(16)], ["+1", "(%s)" % digits(3), digits(3) + "-" + digits(4)], [".".join(digits(3) for _ in range(4))], [word().strip(".,") + digits(2) + "@mail" + digits(1) + ".example.com"], ["CC", "BY-NC", "4.0."], ["at", word()], ["dot", word()], ["the", "key", "is", word()], [digits(3) + "%"], ["page", digits(2)], ["%s-%s-%s" % ("20" + digits(2), digits(2), digits(2))], ["call", word()], ["sha", hexes(7)], ["id", digits(3)], ["number", digits(4)], [hexes(32)], ["no", digits(2)], ["point", word()], [word(), "punto", word()], ["".join(word().strip(".,") for _ in range(6))]])
         return [(w, "O") for w in p]
 
     table = []
@@ -292,30 +311,113 @@ def viterbi(scores: list[np.ndarray], move: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def segments(text: str) -> list[list[tuple[int, int]]]:
-    """Stretches of words (start, end) around candidates; all other words are O."""
-    words = [m.span() for m in _TOKEN.finditer(text)]
-    hits = [i for i, (a, b) in enumerate(words) if _CANDIDATE.search(text[a:b])]
-    out, last = [], -1
-    for i in hits:
-        a, b = max(0, i - CONTEXT), min(len(words), i + CONTEXT + 1)
-        if out and a <= last:
-            out[-1] += words[last:b]
-        else:
-            out.append(words[a:b])
-        last = max(last, b)
+class Decoder:
+    """Scores all words of texts; neighbourhoods of four words that say the same share a row of scores."""
+
+    def __init__(self, crf: Crf):
+        self.crf = crf
+        m = crf.move.astype(np.float64)
+        #: For each kind its two tags and the most that a move into a run of them, out of it and
+        #: within it brings over having O there.
+        self.bounds = []
+        for begin in range(1, len(TAGS), 2):
+            own, other = [begin, begin + 1], [k for k in range(len(TAGS)) if k not in (begin, begin + 1)]
+            free = [k for k in other if TAGS[k][0] != "I"]
+            into = (m[other, begin] - m[other, 0]).max()
+            out = (m[np.ix_(own, free)] - m[0, free]).max()
+            self.bounds.append((own, into, out, m[np.ix_(own, own)].max() - m[0, 0]))
+        self.forget()
+
+    def forget(self) -> None:
+        self.words: dict[str, int] = {}
+        self.kinds: dict[tuple, int] = {_NONE: 0}
+        self.said: list[tuple] = [_NONE]
+        self.rows: dict[int, int] = {}
+        self.table = np.zeros((1024, len(TAGS)), np.float32)
+
+    def _kind(self, word: str) -> int:
+        about = _about(word)
+        found = self.kinds.get(about)
+        if found is None:
+            found = self.kinds[about] = len(self.said)
+            self.said.append(about)
+        if len(word) < 100:
+            self.words[word] = found
+        return found
+
+    def _row(self, code: int) -> int:
+        four = [self.said[code >> shift & 0xFFFF] for shift in (48, 32, 16, 0)]
+        get, at = self.crf.ids.get, len(self.rows)
+        if at == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[at] = self.crf.emit[[get(f, 0) for f in _features(*four)]].sum(axis=0)
+        self.rows[code] = at
+        return at
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """(words, tags), as ``Crf.scores`` has them."""
+        if len(self.words) > MEMO or len(self.rows) > MEMO or len(self.said) > 30_000:
+            self.forget()
+        get = self.words.get
+        k = np.zeros(len(words) + 3, np.uint64)
+        kinds = [get(w) for w in words]
+        k[2:-1] = [self._kind(w) if x is None else x for w, x in zip(words, kinds, strict=True)] if None in kinds else kinds
+        if len(self.said) > 65_535:  # one text with more kinds of words than a code can name
+            self.forget()
+            return self.crf.scores(words)
+        codes = (k[:-3] << np.uint64(48)) | (k[1:-2] << np.uint64(32)) | (k[2:-1] << np.uint64(16)) | k[3:]
+        own, back = np.unique(codes, return_inverse=True)
+        rows = [self.rows[c] if c in self.rows else self._row(c) for c in own.tolist()]
+        return self.table[np.array(rows, np.int64)[back]]
+
+    def stretches(self, e: np.ndarray) -> list[tuple[int, int]]:
+        """(start, end) of all stretches of words that a best path may tag; it has O everywhere else.
+
+        A run of one kind's tags is only as good as O in its place if its words' gains, with
+        the most that its moves can bring, sum up to zero or more. Runs at an end of the text
+        lack a move. A word is in such a run if and only if a prefix sum from it on reaches
+        one before it.
+        """
+        may = np.zeros(len(e) + 2, bool)
+        for own, into, out, within in self.bounds:
+            gains = (e[:, own].max(axis=1) - e[:, 0]).astype(np.float64) + within
+            sums = np.concatenate([[0.0], np.cumsum(gains)])
+            starts, ends = sums[:-1] - into, sums[1:] + out - within
+            starts[0] -= max(0.0, -into)
+            ends[-1] += max(0.0, -out)
+            low, high = np.minimum.accumulate(starts), np.maximum.accumulate(ends[::-1])[::-1]
+            may[1:-1] |= high - low >= -1e-3
+        turns = np.flatnonzero(may[1:] != may[:-1])
+        return list(zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True))
+
+
+def segments(words: list[str], decoder: Decoder) -> list[tuple[int, np.ndarray]]:
+    """(first word, scores) of what has to be decoded: each stretch between two words that are held at O."""
+    if not words:
+        return []
+    e, out = decoder.scores(words), []
+    for a, b in decoder.stretches(e):
+        first, last = max(0, a - 1), min(len(words), b + 1)
+        own = e[first:last].copy()
+        if first < a:
+            own[0, 1:] = -1e4
+        if last > b:
+            own[-1, 1:] = -1e4
+        out.append((first, own))
     return out
 
 
-def crf_spans(texts: list[str], crf: Crf) -> list[list[tuple[str, int, int]]]:
-    """(kind, start, end) that the CRF finds in each text, trimmed of outer punctuation."""
+def crf_spans(texts: list[str], decoder: Decoder) -> list[list[tuple[str, int, int]]]:
+    """(kind, start, end) that the CRF finds in each text, all words decoded, trimmed of outer punctuation."""
     out: list = [[] for _ in texts]
     held, size = [], 0
 
     def flush():
         nonlocal held, size
-        tags = viterbi([s for _, _, s in held], crf.move)
+        tags = viterbi([s for _, _, s in held], decoder.crf.move)
         for (i, spans, _), path in zip(held, tags, strict=True):
+            if not path.any():
+                continue
             text, open_ = texts[i], None
             for (a, b), t in [*zip(spans, path, strict=True), ((0, 0), 0)]:
                 tag = TAGS[t]
@@ -334,12 +436,15 @@ def crf_spans(texts: list[str], crf: Crf) -> list[list[tuple[str, int, int]]]:
         held, size = [], 0
 
     for i, text in enumerate(texts):
-        if _ANY.search(text):
-            for s in segments(text):
-                held.append((i, s, crf.scores([text[a:b] for a, b in s])))
-                size += len(s)
-                if size > WORDS_AT_ONCE:
-                    flush()
+        words = text.split()
+        own = segments(words, decoder)
+        if own:
+            spans = [m.span() for m in _TOKEN.finditer(text)]
+            for first, e in own:
+                held.append((i, spans[first : first + len(e)], e))
+                size += len(e)
+            if size > WORDS_AT_ONCE:
+                flush()
     if held:
         flush()
     return out
@@ -381,11 +486,12 @@ def scan(docs: DataFrame, crf: Crf | None = None) -> DataFrame:
     slim = docs.select("doc_id", "text")
 
     def batches(it):
+        decoder = Decoder(crf)
         for b in it:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                rows = [find(t, x) for t, x in zip(texts, crf_spans(texts, crf), strict=True)]
+                rows = [find(t, x) for t, x in zip(texts, crf_spans(texts, decoder), strict=True)]
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4]), pa.array(cols[5]), pa.array(cols[6], pa.int64())],
