@@ -34,8 +34,10 @@ BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
 def bound_batches(spark: SparkSession) -> None:
     """Lower the session's limits of Arrow batches, so that whole texts don't fill the workers; never raise them."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        now = spark.conf.get(key, None)
-        if now is not None and (int(now) <= 0 or int(now) > most) and spark.conf.isModifiable(key):
+        if not spark.conf.isModifiable(key):  # not known to this version
+            continue
+        now = spark.conf.get(key).rstrip("bB")
+        if not (now.isdigit() and 0 < int(now) <= most):
             spark.conf.set(key, most)
 
 
