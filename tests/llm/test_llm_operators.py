@@ -632,3 +632,19 @@ def test_declared_language_is_looked_for_in_whole_pages(spark):
     rows = [(i, f"l{i % 40:02}", f"text {i}") for i in range(800)]
     drawn = langid.sample(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
     assert drawn == sorted((lang, text) for _, lang, text in rows)
+
+
+def test_kept_frames_are_computed_once(spark):
+    """An eager checkpoint computes its last stage twice; line dedup and components keep frames as Parquet."""
+    from tidewater.llm import common
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    rows = spark.sparkContext.parallelize([(1,), (2,), (3,)], 1).map(count)
+    out = common.kept(spark.createDataFrame(rows, "a long"))
+    assert sorted(r.a for r in out.collect()) == [1, 2, 3] and seen.value == 3
+    assert not hasattr(linededup, "cut")

@@ -61,13 +61,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """Like ``cut``, as Parquet: computed once and compressed, where an eager checkpoint computes its last stage twice."""
+    return written(df, "kept")
+
+
 #: Rows of a table of keys up to which it may be broadcast (about 40 bytes each).
 BROADCAST_LIMIT = 250_000
 
 
 def small(keys: DataFrame) -> DataFrame:
     """The keys, written and counted; marked for broadcast only if they are few."""
-    keys = cut(keys)
+    keys = kept(keys)
     return F.broadcast(keys) if keys.count() <= BROADCAST_LIMIT else keys
 
 
@@ -107,7 +112,7 @@ def connected_components(links: DataFrame, a: str, b: str, max_rounds: int = 60)
     Links of a node to itself are ignored; nulls must not occur.
     """
     x, y = F.col(a), F.col(b)
-    edges = cut(
+    edges = kept(
         links.where(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct()
     )
     seen = None
@@ -118,7 +123,7 @@ def connected_components(links: DataFrame, a: str, b: str, max_rounds: int = 60)
         if tuple(mark) == seen or mark[0] == 0:
             break
         seen = tuple(mark)
-        edges = cut(_small_star(_large_star(edges)))
+        edges = kept(_small_star(_large_star(edges)))
     else:
         raise RuntimeError("components did not settle")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import connected_components, cut, let, small, written
+from tidewater.llm.common import connected_components, kept, let, small, written
 
 #: Characters of a shingle, and the Jaccard similarity from which lines are alike.
 SHINGLE, SIMILARITY = 8, 0.8
@@ -15,7 +15,7 @@ BANDS, ROWS = 8, 4
 #: Where the bins of one permutation begin on the ring of 64-bit hashes.
 MARKS = [k * ((1 << 64) // (BANDS * ROWS)) - (1 << 63) + 1 for k in range(BANDS * ROWS)]
 #: Lines outside a bucket's main component that are compared with all of it in the
-#: first round; each later round takes twice as many.
+#: first round; the second takes all that are still outside.
 LEADERS = 32
 #: Rows of drops that may be broadcast, counted in lines.
 BROADCAST_LINES = 1_000_000
@@ -70,7 +70,7 @@ def _classes(lines: DataFrame) -> DataFrame:
 
 def _texts(docs: DataFrame, keys: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b, line, n) of the keys (a): text and number of shingles; only documents that have such a line first are read."""
-    wanted = cut(classes.join(keys, "a").select("a", "b", "first"))
+    wanted = kept(classes.join(keys, "a").select("a", "b", "first"))
     owners = small(wanted.select("first.doc_id", F.col("first.doc_key").alias("key")).distinct())
     at = F.struct("doc_id", F.xxhash64("text").alias("key"))
     found = _lines(docs.join(owners.select(F.struct("doc_id", "key").alias("at")), at.eqNullSafe(F.col("at")), "left_semi"))
@@ -84,49 +84,53 @@ def _alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     right = texts.select(F.col("a").alias("a2"), F.col("b").alias("b2"), "n", F.col("line").alias("y"))
     # Sets whose sizes differ more than this can't be similar enough; sizes travel before texts do.
     sizes = pairs.join(left.select("a", "m"), "a").join(right.select("a2", "n"), "a2")
-    likely = cut(sizes.where(F.least("m", "n") >= SIMILARITY * F.greatest("m", "n")).select("a", "a2"))
+    likely = kept(sizes.where(F.least("m", "n") >= SIMILARITY * F.greatest("m", "n")).select("a", "a2"))
     both = likely.join(left, "a").join(right, "a2").select("a", "b", "a2", "b2", "m", "n", F.size(F.array_intersect(shingle_hashes(F.col("x")), shingle_hashes(F.col("y")))).alias("common"))
     # Written before the filter, which would else be pushed below the sets and make them anew.
-    return cut(both).where(F.col("common") >= SIMILARITY * (F.col("m") + F.col("n") - F.col("common"))).select("a", "b", "a2", "b2")
+    return kept(both).where(F.col("common") >= SIMILARITY * (F.col("m") + F.col("n") - F.col("common"))).select("a", "b", "a2", "b2")
 
 
 def _members(links: DataFrame) -> DataFrame:
     """(a, b, component) for every line of a link."""
     # Lines of links get one long as their name; it is checked to be one to one.
     ends = links.select("a", "b").union(links.select("a2", "b2")).distinct()
-    named = cut(ends.select("a", "b", F.xxhash64("a", "b", F.lit("name")).alias("node")))
+    named = kept(ends.select("a", "b", F.xxhash64("a", "b", F.lit("name")).alias("node")))
     n, different = named.agg(F.count("*"), F.count_distinct("node")).first()
     if n != different:
         raise RuntimeError("two lines have one name")
     to = named.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("node").alias("node2"))
     parts = connected_components(links.join(named, ["a", "b"]).join(to, ["a2", "b2"]), "node", "node2")
-    return cut(named.join(parts, "node").select("a", "b", "component"))
+    return kept(named.join(parts, "node").select("a", "b", "component"))
 
 
-def _across(large: DataFrame, members: DataFrame, leaders: int) -> tuple[DataFrame, DataFrame]:
+def _across(large: DataFrame, members: DataFrame, leaders: int | None) -> tuple[DataFrame, DataFrame]:
     """Pairs of lines of a bucket that no component joins yet, and the rows (bucket, a) that have still to be paired.
 
-    In each bucket so many of the lines outside its largest component are paired
-    with all lines of the bucket that are in other components; after that they
-    have met all there is to meet.
+    In each bucket so many of the lines outside its largest component (None: all) are
+    paired with all lines of the bucket that are in other components and whose sets
+    are of a size that can be alike; after that they have met all there is to meet.
     """
     parts = members.groupBy("a").agg(F.min("component").alias("component"))
-    sides = cut(large.join(parts, "a", "left"))
+    sides = kept(large.join(parts, "a", "left"))
     counts = sides.where("component is not null").groupBy("bucket", "component").agg(F.count("*").alias("n"))
     main = counts.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
     outside = sides.join(main, "bucket", "left").where("component is null or component <> main")
     nth = F.row_number().over(W.partitionBy("bucket").orderBy(F.xxhash64("a", "bucket"), "a"))
-    chosen = cut(outside.select("bucket", F.col("a").alias("a2"), F.col("component").alias("component2"), nth.alias("nth")))
-    rest = large.join(chosen.where(F.col("nth") <= leaders).select("bucket", F.col("a2").alias("a")), ["bucket", "a"], "left_anti")
+    chosen = kept(outside.select("bucket", F.col("a").alias("a2"), F.col("component").alias("component2"), F.col("n").alias("n2"), nth.alias("nth")))
+    first = chosen if leaders is None else chosen.where(F.col("nth") <= leaders)
     pairs = (
-        sides.join(chosen.where(F.col("nth") <= leaders), "bucket")
+        sides.join(first, "bucket")
         .where("a <> a2 and a2 <> least and a <> least")  # the least one has been compared with all
         .where("component is null or component2 is null or component <> component2")
+        .where(F.least("n", "n2") >= SIMILARITY * F.greatest("n", "n2"))
         .select(F.least("a", "a2").alias("a"), F.greatest("a", "a2").alias("a2"))
         .distinct()
     )
+    if leaders is None:
+        return pairs, large.limit(0)
+    rest = large.join(first.select("bucket", F.col("a2").alias("a")), ["bucket", "a"], "left_anti")
     more = chosen.where(F.col("nth") > leaders).select("bucket").distinct()
-    return pairs, cut(rest.join(more, "bucket", "left_semi"))
+    return pairs, kept(rest.join(more, "bucket", "left_semi"))
 
 
 def _linked(classes: DataFrame, texts_of) -> DataFrame:
@@ -139,33 +143,32 @@ def _linked(classes: DataFrame, texts_of) -> DataFrame:
     all pairs of all buckets, but the pairs within a group of like lines aren't made.
     """
     buckets = classes.select("a", F.explode("bands").alias("bucket"))
-    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("a").alias("least"), F.max("a").alias("most"))
-    crowded = cut(sizes.where("least < most"))
-    couples = crowded.where("n = 2").select("least", "most")
-    large = cut(buckets.join(small(crowded.where("n > 2").select("bucket", "least")), "bucket"))
-    stars = large.where("a <> least").select("least", "a")
-    pairs = cut(couples.union(stars).toDF("a", "a2").distinct())
-    texts = cut(texts_of(small(pairs.select("a").union(pairs.select("a2")).distinct())))
-    links = cut(_alike(pairs, texts))
+    own = W.partitionBy("bucket")
+    counted = buckets.withColumns({"size": F.count("*").over(own), "least": F.min("a").over(own), "most": F.max("a").over(own)})
+    crowded = kept(counted.where("least < most").select("bucket", "a", "least", "size"))
+    pairs = kept(crowded.where("a <> least").select("least", "a").toDF("a", "a2").distinct())
+    texts = kept(texts_of(small(pairs.select("a").union(pairs.select("a2")).distinct())))
+    links = kept(_alike(pairs, texts))
+    large = kept(crowded.where("size > 2").select("bucket", "a", "least").join(texts.select("a", "n"), "a"))
     members, leaders = _members(links), LEADERS
     while large.take(1):
         pairs, large = _across(large, members, leaders)
-        more = cut(_alike(pairs, texts))
+        more = kept(_alike(pairs, texts))
         if more.take(1):
-            links = cut(links.union(more))
+            links = kept(links.union(more))
             members = _members(links)
-        leaders *= 2
+        leaders = None
     return members
 
 
 def doubles(docs: DataFrame) -> DataFrame:
     """(doc_id, doc_key, drop): the places of lines that repeat an earlier kept line."""
     lines = written(_bands(_lines(docs)).drop("line"), "lines")
-    classes = cut(_classes(lines))
+    classes = kept(_classes(lines))
     member = _linked(classes, lambda keys: _texts(docs, keys, classes))
     joined = member.join(classes.select("a", "b", "first"), ["a", "b"])
     keeper = joined.groupBy("component").agg(F.min("first").alias("keep"))
-    fuzzy = cut(joined.join(keeper, "component").select("a", "b", "keep"))
+    fuzzy = kept(joined.join(keeper, "component").select("a", "b", "keep"))
     exact = (
         classes.where("repeated").join(small(fuzzy.select("a", "b")), ["a", "b"], "left_anti").select("a", "b", F.col("first").alias("keep"))
     )
@@ -190,7 +193,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     give an empty result. Other columns pass through; n_lines and n_dropped take
     the place of input columns of these names.
     """
-    drops = cut(doubles(docs.select("doc_id", "text").where("text is not null")))
+    drops = kept(doubles(docs.select("doc_id", "text").where("text is not null")))
     n = drops.agg(F.sum(F.size("drop"))).first()[0]
     marks = drops.select(F.struct("doc_id", "doc_key").alias("at"), "drop")
     marks = F.broadcast(marks) if (n or 0) <= BROADCAST_LINES else marks
@@ -200,11 +203,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     joined = rows.join(marks, here.eqNullSafe(F.col("at")), "left")
     text, drop = F.col("row.text"), F.col("drop")
     parts = F.split(text, "\n")
-    kept = let(
+    remaining = let(
         parts,
         lambda p: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), drop), lambda i: F.get(p, i)), "\n"),
     )
-    own = {"text": F.when(drop.isNull(), text).otherwise(kept)}
+    own = {"text": F.when(drop.isNull(), text).otherwise(remaining)}
     return joined.select(
         *[own.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")],
         F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"),
