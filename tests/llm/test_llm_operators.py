@@ -648,3 +648,46 @@ def test_kept_frames_are_computed_once(spark):
     out = common.kept(spark.createDataFrame(rows, "a long"))
     assert sorted(r.a for r in out.collect()) == [1, 2, 3] and seen.value == 3
     assert not hasattr(linededup, "cut")
+
+
+def test_line_dedup_makes_few_pairs_of_unlike_lines_in_a_bucket(spark, monkeypatch):
+    """Lines with one long common passage share a bucket; their sketches part them before their sets are compared."""
+    r = np.random.default_rng(3)
+    passage = " ".join(f"common{i}" for i in range(30))
+    texts = [f"{passage} " + " ".join(f"x{v}" for v in r.integers(0, 1 << 30, 20)) for _ in range(80)]
+    texts += [t[:-4] for t in texts[:20]]
+    lines = spark.createDataFrame([(i, -i, t) for i, t in enumerate(texts)], "a long, b long, line string")
+    shingles = lines.withColumn("n", F.size(F.array_distinct(linededup.shingle_hashes(F.col("line")))))
+    compared, plain = [], linededup._alike
+    monkeypatch.setattr(linededup, "_alike", lambda pairs, texts: (compared.append(pairs.count()), plain(pairs, texts))[1])
+    got = linededup._linked(lines.select("a", "b", F.array(F.lit(7)).alias("bands")), lambda keys: shingles.join(keys, "a")).collect()
+    assert len(got) == 40 and all(g.a % 80 == h.a % 80 for g in got for h in got if g.component == h.component)
+    assert sum(compared) <= 2 * len(texts)  # not 4,950
+
+
+def test_line_sketches_lose_no_pair(spark):
+    r = np.random.default_rng(4)
+    base = "".join(r.choice(list("abcdefgh ij"), 2500))
+    texts = [base[: int(n)] for n in r.integers(1, 2500, 30)] + ["", "a", base + base]
+    for changes in (1, 5, 20, 60):
+        for at in r.integers(0, 2400, (8, changes)):
+            x = list(base)
+            for i in at:
+                x[i] = "z"
+            texts.append("".join(x))
+    lines = spark.createDataFrame(list(enumerate(texts)), "a long, line string")
+    rows = lines.withColumn("n", F.size(F.array_distinct(linededup.shingle_hashes(F.col("line"))))).drop("line").join(linededup._sketches(lines), "a")
+    other = rows.select(F.col("a").alias("a2"), F.col("n").alias("n2"), *[F.col(f"s{k}").alias(f"t{k}") for k in range(linededup.SKETCH)])
+    likely = rows.crossJoin(other).where("a < a2").where(linededup._can_be_alike(F.col("n"), F.col("n2"), "s", "t"))
+    sets = [shingle_set(t) for t in texts]
+    want = {(i, j) for j, u in enumerate(sets) for i in range(j) if alike(u, sets[i])}
+    got = {(x.a, x.a2) for x in likely.select("a", "a2").collect()}
+    assert want <= got and len(got) < len(texts) * (len(texts) - 1) / 2
+
+
+def test_components_on_the_driver_are_the_same(spark):
+    rng = np.random.default_rng(2)
+    links = [(int(a), int(b)) for a, b in rng.integers(-200, 200, (150, 2))] + [(1000 + i, 1001 + i) for i in range(80)]
+    frame = spark.createDataFrame(links, "a long, b long")
+    here, there = ({tuple(x) for x in common.connected_components(frame, "a", "b", local=n).collect()} for n in (1000, 10))
+    assert here == there and common.connected_components(frame.limit(0), "a", "b", local=9).count() == 0

@@ -17,6 +17,10 @@ MARKS = [k * ((1 << 64) // (BANDS * ROWS)) - (1 << 63) + 1 for k in range(BANDS
 #: Lines outside a bucket's main component that are compared with all of it in the
 #: first round; the second takes all that are still outside.
 LEADERS = 32
+#: 64-bit words of a line's sketch.
+SKETCH = 32
+#: Links up to which the driver finds components by itself; 16 bytes a link.
+LOCAL_LINKS = 250_000
 #: Rows of drops that may be broadcast, counted in lines.
 BROADCAST_LINES = 1_000_000
 
@@ -78,14 +82,34 @@ def _texts(docs: DataFrame, keys: DataFrame, classes: DataFrame) -> DataFrame:
     return own.dropDuplicates(["a", "b"]).select("a", "b", "line", F.size(F.array_distinct(shingle_hashes(F.col("line")))).alias("n"))
 
 
+def _sketches(texts: DataFrame) -> DataFrame:
+    """(a, s0, s1, ...): one bit a class of shingle hashes, set if the line has an odd number of distinct ones in it.
+
+    Sets that differ in d shingles have sketches that differ in d bits at most.
+    """
+    hashes = texts.select("a", F.explode(F.array_distinct(shingle_hashes(F.col("line")))).alias("h"))
+    placed = hashes.select("a", F.expr(f"(h >>> 6) & {SKETCH - 1}").alias("word"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
+    return kept(placed.groupBy("a").agg(*[F.bit_xor(F.when(F.col("word") == k, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(f"s{k}") for k in range(SKETCH)]))
+
+
+def _can_be_alike(m: Column, n: Column, one: str, other: str) -> Column:
+    """False only for sets that can't be similar enough, by their sizes and sketches (columns ``one``0, ``other``0, ...)."""
+    differ = sum((F.bit_count(F.col(f"{one}{k}").bitwiseXOR(F.col(f"{other}{k}"))) for k in range(1, SKETCH)), F.bit_count(F.col(f"{one}0").bitwiseXOR(F.col(f"{other}0"))))
+    most = F.lit((1 - SIMILARITY) / (1 + SIMILARITY)) * (m + n) + F.lit(1e-6)  # shingles that are in one set only
+    return (F.least(m, n) >= SIMILARITY * F.greatest(m, n)) & (differ <= most)
+
+
+def _likely(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, a2) whose set sizes don't rule out that they are similar enough."""
+    sizes = pairs.join(texts.select("a", F.col("n").alias("m")), "a").join(texts.select(F.col("a").alias("a2"), "n"), "a2")
+    return kept(sizes.where(F.least("m", "n") >= SIMILARITY * F.greatest("m", "n")).select("a", "a2"))
+
+
 def _alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b, a2, b2) of the pairs (a, a2) whose shingle sets are similar enough, by the sets themselves."""
     left = texts.select("a", "b", F.col("n").alias("m"), F.col("line").alias("x"))
     right = texts.select(F.col("a").alias("a2"), F.col("b").alias("b2"), "n", F.col("line").alias("y"))
-    # Sets whose sizes differ more than this can't be similar enough; sizes travel before texts do.
-    sizes = pairs.join(left.select("a", "m"), "a").join(right.select("a2", "n"), "a2")
-    likely = kept(sizes.where(F.least("m", "n") >= SIMILARITY * F.greatest("m", "n")).select("a", "a2"))
-    both = likely.join(left, "a").join(right, "a2").select("a", "b", "a2", "b2", "m", "n", F.size(F.array_intersect(shingle_hashes(F.col("x")), shingle_hashes(F.col("y")))).alias("common"))
+    both = pairs.join(left, "a").join(right, "a2").select("a", "b", "a2", "b2", "m", "n", F.size(F.array_intersect(shingle_hashes(F.col("x")), shingle_hashes(F.col("y")))).alias("common"))
     # Written before the filter, which would else be pushed below the sets and make them anew.
     return kept(both).where(F.col("common") >= SIMILARITY * (F.col("m") + F.col("n") - F.col("common"))).select("a", "b", "a2", "b2")
 
@@ -98,17 +122,18 @@ def _members(links: DataFrame) -> DataFrame:
     n, different = named.agg(F.count("*"), F.count_distinct("node")).first()
     if n != different:
         raise RuntimeError("two lines have one name")
-    to = named.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("node").alias("node2"))
-    parts = connected_components(links.join(named, ["a", "b"]).join(to, ["a2", "b2"]), "node", "node2")
+    edges = links.select(F.xxhash64("a", "b", F.lit("name")).alias("node"), F.xxhash64("a2", "b2", F.lit("name")).alias("node2"))
+    parts = connected_components(edges, "node", "node2", local=LOCAL_LINKS)
     return kept(named.join(parts, "node").select("a", "b", "component"))
 
 
-def _across(large: DataFrame, members: DataFrame, leaders: int | None) -> tuple[DataFrame, DataFrame]:
+def _across(large: DataFrame, members: DataFrame, sketches: DataFrame, leaders: int | None) -> tuple[DataFrame, DataFrame]:
     """Pairs of lines of a bucket that no component joins yet, and the rows (bucket, a) that have still to be paired.
 
     In each bucket so many of the lines outside its largest component (None: all) are
-    paired with all lines of the bucket that are in other components and whose sets
-    are of a size that can be alike; after that they have met all there is to meet.
+    compared with all lines of the bucket that are in other components, by size and
+    sketch in the join, and paired with those that can be alike; after that they have
+    met all there is to meet.
     """
     parts = members.groupBy("a").agg(F.min("component").alias("component"))
     sides = kept(large.join(parts, "a", "left"))
@@ -118,14 +143,17 @@ def _across(large: DataFrame, members: DataFrame, leaders: int | None) -> tuple[
     nth = F.row_number().over(W.partitionBy("bucket").orderBy(F.xxhash64("a", "bucket"), "a"))
     chosen = kept(outside.select("bucket", F.col("a").alias("a2"), F.col("component").alias("component2"), F.col("n").alias("n2"), nth.alias("nth")))
     first = chosen if leaders is None else chosen.where(F.col("nth") <= leaders)
+    other = sketches.select(F.col("a").alias("a2"), *[F.col(f"s{k}").alias(f"t{k}") for k in range(SKETCH)])
     pairs = (
-        sides.join(first, "bucket")
+        sides.join(sketches, "a")
+        .join(first.join(other, "a2"), "bucket")
         .where("a <> a2 and a2 <> least and a <> least")  # the least one has been compared with all
         .where("component is null or component2 is null or component <> component2")
-        .where(F.least("n", "n2") >= SIMILARITY * F.greatest("n", "n2"))
+        .where(_can_be_alike(F.col("n"), F.col("n2"), "s", "t"))
         .select(F.least("a", "a2").alias("a"), F.greatest("a", "a2").alias("a2"))
         .distinct()
     )
+    pairs = kept(pairs)
     if leaders is None:
         return pairs, large.limit(0)
     rest = large.join(first.select("bucket", F.col("a2").alias("a")), ["bucket", "a"], "left_anti")
@@ -148,11 +176,12 @@ def _linked(classes: DataFrame, texts_of) -> DataFrame:
     crowded = kept(counted.where("least < most").select("bucket", "a", "least", "size"))
     pairs = kept(crowded.where("a <> least").select("least", "a").toDF("a", "a2").distinct())
     texts = kept(texts_of(small(pairs.select("a").union(pairs.select("a2")).distinct())))
-    links = kept(_alike(pairs, texts))
+    links = kept(_alike(_likely(pairs, texts), texts))
     large = kept(crowded.where("size > 2").select("bucket", "a", "least").join(texts.select("a", "n"), "a"))
-    members, leaders = _members(links), LEADERS
+    members, leaders, sketches = _members(links), LEADERS, None
     while large.take(1):
-        pairs, large = _across(large, members, leaders)
+        sketches = sketches or _sketches(texts.join(small(large.select("a").distinct()), "a", "left_semi"))
+        pairs, large = _across(large, members, sketches, leaders)
         more = kept(_alike(pairs, texts))
         if more.take(1):
             links = kept(links.union(more))
