@@ -390,6 +390,27 @@ def test_chunk_encoder():
         assert e.encode(t) == e.whole(t), repr(t)
 
 
+def test_chunk_encoder_splits_at_dots_and_commas_and_goes_with_its_last_use():
+    import gc
+    import random
+    import weakref
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    r = random.Random(5)
+    e = packing.ChunkEncoder(path)
+    parts = ["a", "é", "œ", "Ⱥ", "7", "½", " ", "\xa0", "\n", ".", ".", ",", ",", "'", "'s", "'re", "!", "_", "«", "中"]
+    for _ in range(3000):
+        t = "".join(r.choice(parts) for _ in range(r.randint(0, 12)))
+        assert e.encode(t) == e.whole(t), repr(t)
+    gone = [weakref.ref(x) for x in (e, e.words, e.chunks)]
+    gc.disable()
+    try:
+        del e
+        assert not any(x() for x in gone)  # at once, not when the collector comes by
+    finally:
+        gc.enable()
+
+
 def test_evolution_beats_best_fit_decreasing():
     def check(sizes):
         best = packing.evolve(sizes, [], 4096, 1)[0]

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
-import sys
+import re
+import struct
 import unicodedata
 import zlib
-from array import array
 from bisect import bisect_left, bisect_right, insort
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +20,15 @@ from tidewater.llm.common import bound_batches, cut
 CAPACITY = 4096
 END_ID = 1
 #: Bytes of remembered words, and of remembered chunks, that a task may hold.
-MEMO_BYTES = 32 << 20
-LITTLE = sys.byteorder == "little"
-#: Fixed value: how the tokenizer divides a text, as its file states.
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+MEMO_BYTES = 88 << 20
+#: By number of ids: what packs so many.
+_PACKS = [struct.Struct(f"<{n}I").pack for n in range(33)]
+#: Fixed value: how the tokenizer divides a text, "'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" in its
+#: file, as it is for signs below LATIN_END, of which ``\w`` are letters, numbers and the underscore.
+LATIN_PARTS = re.compile(r"[^\W\d_\xb2\xb3\xb9\xbc-\xbe]+|[\d\xb2\xb3\xb9\xbc-\xbe]|'(?:s|t|re|ve|m|ll|d)|(?:[^\s\w]|_)+").findall
+LATIN_END = "\u0250"
+#: For Latin-1 texts: dots and commas, other signs that go with them in a part, and all the rest.
+_KINDS = bytes(b"."[0] if chr(b) in ".," else b"a"[0] if chr(b).isspace() or chr(b).isalnum() else b"!"[0] for b in range(256))
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _OTHER = [b for b in range(256) if b not in set(_PRINTABLE)]
 #: The character that stands for each byte in a byte-level vocabulary.
@@ -44,7 +50,7 @@ class _Memo(dict):
 
     def __missing__(self, key):
         value = self.compute(key)
-        self.held += 4 * len(key) + len(value) + 250  # characters take up to four bytes
+        self.held += 2 * len(key) + len(value) + 210  # with both headers and the place in the table
         if self.held > MEMO_BYTES:
             self.clear()
             self.held = 0
@@ -53,45 +59,64 @@ class _Memo(dict):
         return value
 
 
+@cache
+def _tokenizer(path: str):
+    """One a process, without memos: some 10 MB."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def _whole(tokenizer, text: str) -> bytes:
+    return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def _word(tokenize, word: str) -> bytes:
+    if not (word.isascii() and word.isprintable()):
+        word = "".join([_BYTE_CHARS[b] for b in word.encode()])
+    return _packed([t.id for t in tokenize(word)])
+
+
+def _packed(ids: list[int]) -> bytes:
+    return _PACKS[len(ids)](*ids) if len(ids) < len(_PACKS) else np.array(ids, "<u4").tobytes()
+
+
+def _chunk(tokenizer, tokenize, words: _Memo, chunk: str) -> bytes:
+    if chunk.isalpha() and chunk.isascii():  # most are
+        return _packed([t.id for t in tokenize(chunk)])
+    if not chunk.isascii() and max(chunk) >= LATIN_END:
+        return _whole(tokenizer, chunk)
+    if chunk.isalpha():
+        return _word(tokenize, chunk)
+    return b"".join([words[w] for w in LATIN_PARTS(chunk)])
+
+
 class ChunkEncoder:
     """Ids as little-endian uint32 bytes, equal to the tokenizer's on the whole text.
 
     The tokenizer's pre-tokens never cross white space, so a text's ids are those
     of its white-space chunks in order, and a chunk's those of its words and
-    runs of other signs. Distinct chunks and words are remembered; a word's ids
-    come from the library's model. Where the split isn't sure (the tokenizer's
-    special strings, separators that only Python takes for white space, letters
-    beyond the Latin ones) the library encodes the chunk or the whole text.
+    runs of other signs. Distinct chunks are remembered, and words of those that aren't
+    one word; a word's ids come from the library's model. Where no dot or comma has
+    another sign beside it, each is a part by itself, and is made a chunk, for fewer
+    distinct ones. Where the split isn't sure (the tokenizer's special strings,
+    separators that only Python takes for white space, signs beyond the Latin
+    ones) the library encodes the chunk or the whole text.
+
+    The memos' functions don't refer to the encoder: nothing here is in a cycle, so that
+    an encoder and its memos go when their task ends and don't wait for the collector,
+    which counts neither the library's memory nor the memos'. Only the tokenizer itself stays.
     """
 
     def __init__(self, path: str):
-        import regex
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = _tokenizer(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.parts = regex.compile(WORD_PATTERN).findall
-        self.model = self.tokenizer.model
-        self.chunks, self.words = _Memo(self._chunk), _Memo(self._word)
+        tokenize = self.tokenizer.model.tokenize
+        self.words = _Memo(partial(_word, tokenize))
+        self.chunks = _Memo(partial(_chunk, self.tokenizer, tokenize, self.words))
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        if not (word.isascii() and word.isprintable()):
-            word = "".join([_BYTE_CHARS[b] for b in word.encode()])
-        ids = array("I", [t.id for t in self.model.tokenize(word)])
-        return ids.tobytes() if LITTLE else np.array(ids, "<u4").tobytes()
-
-    def _chunk(self, chunk: str) -> bytes:
-        if not chunk.isascii() and max(chunk) >= "\u0250":
-            return self.whole(chunk)
-        words = self.words
-        if chunk.isalpha():
-            return words[chunk]
-        if chunk[:-1].isalpha():
-            return words[chunk[:-1]] + words[chunk[-1]]
-        return b"".join([words[w] for w in self.parts(chunk)])
+        return _whole(self.tokenizer, text)
 
     def encode(self, text: str) -> bytes:
         if not text.isascii():
@@ -100,14 +125,14 @@ class ChunkEncoder:
             text = unicodedata.normalize("NFC", text)
         if any(s in text for s in self.specials) or any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self.whole(text)
-        chunks, words = self.chunks, self.words
-        # Most chunks are a word, or a word and a sign: those are only remembered as words.
-        return b"".join(
-            [
-                (words[c] if c.isalpha() else words[c[:-1]] + words[c[-1]] if c[:-1].isalpha() else chunks[c]) if c.isascii() else chunks[c]
-                for c in text.lower().split()
-            ]
-        )
+        text = text.lower()
+        try:
+            kinds = text.encode("latin-1").translate(_KINDS)
+        except UnicodeEncodeError:
+            kinds = b".."  # not known
+        if not any(x in kinds for x in (b"..", b".!", b"!.")):
+            text = text.replace(".", " . ").replace(",", " , ")
+        return b"".join(map(self.chunks.__getitem__, text.split()))
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
