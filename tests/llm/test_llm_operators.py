@@ -706,6 +706,23 @@ def test_line_sketches_lose_no_pair(spark):
     assert want <= got and len(got) < len(texts) * (len(texts) - 1) / 2
 
 
+def test_first_words_of_sketches_rule_out_what_whole_sketches_do(spark, monkeypatch):
+    import random
+
+    r = random.Random(12)
+    texts = ["".join(r.choice("abcdefgh ") for _ in range(r.randint(5, 300))) for _ in range(25)]
+    texts += [t[: int(len(t) * r.uniform(0.75, 1))] + "x" * r.randint(0, 9) for t in texts]
+    lines = spark.createDataFrame(list(enumerate(texts)), "a long, line string")
+    rows = lines.withColumn("n", F.size(F.array_distinct(linededup.shingle_hashes(F.col("line"))))).drop("line").join(linededup._sketches(lines), "a").cache()
+    other = rows.select(F.col("a").alias("a2"), F.col("n").alias("n2"), *[F.col(f"s{k}").alias(f"t{k}") for k in range(linededup.SKETCH)])
+    found = []
+    for words in (1, linededup.FIRST_WORDS, linededup.SKETCH):
+        monkeypatch.setattr(linededup, "FIRST_WORDS", words)
+        can = linededup._can_be_alike(F.col("n"), F.col("n2"), "s", "t")
+        found.append({tuple(x) for x in rows.crossJoin(other).where("a < a2").where(can).select("a", "a2").collect()})
+    assert linededup.SKETCH > 8 and found[0] == found[1] == found[2] and 0 < len(found[0]) < 200
+
+
 def test_components_on_the_driver_are_the_same(spark):
     rng = np.random.default_rng(2)
     links = [(int(a), int(b)) for a, b in rng.integers(-200, 200, (150, 2))] + [(1000 + i, 1001 + i) for i in range(80)]
