@@ -723,6 +723,25 @@ def test_first_words_of_sketches_rule_out_what_whole_sketches_do(spark, monkeypa
     assert linededup.SKETCH > 8 and found[0] == found[1] == found[2] and 0 < len(found[0]) < 200
 
 
+def test_line_shingles_are_of_characters_with_and_without_surrogate_pairs(spark):
+    texts = ["", "a", "short", "exactly8", "nine char", "é" * 9, "这是一个重复的句子没有空格", "plain ascii in front 😀 and behind it", "😀" * 12, "plain ascii in front of it"]
+    got = spark.createDataFrame(list(enumerate(texts)), "a long, line string").select("a", linededup.shingle_hashes(F.col("line")).alias("h")).collect()
+    for r in got:
+        t = texts[r.a]
+        want = [xxhash.xxh64_intdigest(t[i : i + 8].encode("utf-16-be"), 42) for i in range(max(1, len(t) - 7))]
+        assert [h % (1 << 64) for h in r.h] == want, t
+
+
+def test_line_dedup_hashes_a_text_once_not_at_every_line(spark):
+    """The hash of the whole text must be made before the lines are dealt out: the split refers to it."""
+    docs = spark.createDataFrame([(1, "a\nb\n\n")], "doc_id long, text string")
+    parts = linededup._parts(docs)
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert "doc_key" in re.search(r"Generate posexplode\((.*?)\), \[", plan, re.S)[1]
+    key = xxhash.xxh64_intdigest(b"a\nb\n\n", 42)
+    assert [(r.place.doc_id, r.place.doc_key % (1 << 64), r.place.nth, r.raw) for r in parts.collect()] == [(1, key, k, x) for k, x in enumerate(["a", "b", "", ""])]
+
+
 def test_components_on_the_driver_are_the_same(spark):
     rng = np.random.default_rng(2)
     links = [(int(a), int(b)) for a, b in rng.integers(-200, 200, (150, 2))] + [(1000 + i, 1001 + i) for i in range(80)]

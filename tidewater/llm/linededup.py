@@ -32,23 +32,41 @@ def _normal(line: Column) -> Column:
 
 
 def shingle_hashes(line: Column) -> Column:
-    """64-bit hashes of the character shingles at every place; of shorter lines that of the line."""
-    # In UTF-32 a character is four bytes, so that a place is found without reading up to it.
-    starts = F.sequence(F.lit(1), 4 * F.greatest(F.length(line) - SHINGLE, F.lit(0)) + 1, F.lit(4))
-    return let(
-        F.encode(line, "UTF-32"),
-        lambda text: F.transform(starts, lambda at: F.xxhash64(F.substring(text, at, F.lit(4 * SHINGLE)))),
-    )
+    """64-bit hashes of the character shingles at every place, in UTF-16; of shorter lines that of the line."""
+
+    def each(charset: str, width: int, body) -> Column:
+        # Every character is of one width, so that a place is found without reading up to it.
+        starts = F.sequence(F.lit(1), width * F.greatest(F.length(line) - SHINGLE, F.lit(0)) + 1, F.lit(width))
+        return let(
+            F.encode(line, charset),
+            lambda text: F.transform(starts, lambda at: F.xxhash64(body(F.substring(text, at, F.lit(width * SHINGLE))))),
+        )
+
+    plain = each("UTF-16BE", 2, lambda part: part)
+    # With surrogate pairs places are found in UTF-32; a shingle without them has the same hash in any line.
+    pairs = each("UTF-32", 4, lambda part: F.encode(F.decode(part, "UTF-32"), "UTF-16BE"))
+    wide = (F.octet_length(line) >= F.length(line) + 3) & line.rlike(r"[^\x{0}-\x{FFFF}]")
+    return F.when(wide, pairs).otherwise(plain)
+
+
+def _parts(docs: DataFrame) -> DataFrame:
+    """One row a line: its place and its text as it stands."""
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("doc_key"))
+    # Any limit below 1 is none. As the split refers to the key, that is made once a text; else it would be made at every line.
+    limit = F.when(F.col("doc_key") == 0, F.lit(-2)).otherwise(F.lit(-1))
+    parts = keyed.select("doc_id", "doc_key", F.posexplode(F.split("text", "\n", limit)).alias("nth", "raw"))
+    return parts.select(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "doc_key", "nth").alias("place"), "raw")
+
+
+def _keys(line: Column) -> tuple[Column, Column]:
+    return F.xxhash64(line).alias("a"), F.xxhash64(F.lit("line"), line).alias("b")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """One row a line that isn't blank: its place, its text and a 128-bit key of it."""
-    parts = docs.select("doc_id", F.xxhash64("text").alias("doc_key"), F.posexplode(F.split("text", "\n")).alias("nth", "raw"))
-    return (
-        parts.select(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "doc_key", "nth").alias("place"), _normal(F.col("raw")).alias("line"))
-        .where(F.col("line").rlike(r"[^\s\x85\p{Z}]"))
-        .select("*", F.xxhash64("line").alias("a"), F.xxhash64(F.lit("line"), "line").alias("b"))
-    )
+    # Most lines show by their first character that they aren't blank.
+    filled = F.ascii(F.trim("raw")).between(33, 126) | F.col("raw").rlike(r"[^\s\x85\p{Z}]")
+    return _parts(docs).where(filled).select("place", _normal(F.col("raw")).alias("line")).select("*", *_keys(F.col("line")))
 
 
 def _bands(lines: DataFrame) -> DataFrame:
@@ -79,9 +97,11 @@ def _texts(docs: DataFrame, keys: DataFrame, classes: DataFrame) -> DataFrame:
     wanted = kept(classes.join(keys, "a").select("a", "b", "first"))
     owners = small(wanted.select("first.doc_id", F.col("first.doc_key").alias("key")).distinct())
     at = F.struct("doc_id", F.xxhash64("text").alias("key"))
-    found = _lines(docs.join(owners.select(F.struct("doc_id", "key").alias("at")), at.eqNullSafe(F.col("at")), "left_semi"))
-    own = found.join(small(wanted.select("a", "b", F.col("first").alias("place"))), ["a", "b", "place"], "left_semi")
-    return own.dropDuplicates(["a", "b"]).select("a", "b", "line", F.size(F.array_distinct(shingle_hashes(F.col("line")))).alias("n"))
+    found = _parts(docs.join(owners.select(F.struct("doc_id", "key").alias("at")), at.eqNullSafe(F.col("at")), "left_semi"))
+    # Joined by place first, so that only these lines are lower-cased and hashed.
+    own = found.join(small(wanted.select("a", "b", F.col("first").alias("place"))), "place").select("a", "b", _normal(F.col("raw")).alias("line"))
+    a, b = _keys(F.col("line"))
+    return own.where((F.col("a") == a) & (F.col("b") == b)).dropDuplicates(["a", "b"]).select("a", "b", "line", F.size(F.array_distinct(shingle_hashes(F.col("line")))).alias("n"))
 
 
 def _sketches(texts: DataFrame) -> DataFrame:
